@@ -1,0 +1,45 @@
+"""One-row summary of all order lines."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from orderline_kpi.functions.measures import mean, rows, sample_deviation, total
+from orderline_kpi.operators.kpi import Kpi, kpi
+from orderline_kpi.schema import require_columns
+
+SUMMARY_STATISTICS = Kpi(
+    "summary_statistics",
+    keys=(),
+    measures={
+        "total_records": rows(),
+        "total_sales": total("sales"),
+        "avg_sale": mean("sales"),
+        "stddev_sales": sample_deviation("sales"),
+        "total_profit": total("profit"),
+        "avg_profit": mean("profit"),
+        "avg_late_delivery_rate": mean("late"),
+        "avg_shipping_days": mean("ship_real"),
+    },
+)
+
+
+def summary_statistics(
+    lines: DataFrame, order_ids: DataFrame | None = None, customer_ids: DataFrame | None = None
+) -> DataFrame:
+    """Totals, means and the exact numbers of orders and customers.
+
+    Two distinct counts within one aggregation would make Spark triple every row first.
+    Each is a scalar subquery instead: a scan of one column next to the main one.
+    ``order_ids`` and ``customer_ids`` may give a cheaper place to read the ids from;
+    by default they come from ``lines``.
+    """
+    counted = {
+        "total_orders": ("order_id", order_ids), "total_customers": ("customer_id", customer_ids),
+    }
+    numbers = []
+    for name, (column, source) in counted.items():
+        ids = lines if source is None else source
+        require_columns(ids, [column], SUMMARY_STATISTICS.name)
+        numbers.append(ids.agg(F.countDistinct(column)).scalar().alias(name))
+    return kpi(lines, SUMMARY_STATISTICS).select("*", *numbers)
