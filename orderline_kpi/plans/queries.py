@@ -12,6 +12,7 @@ from orderline_kpi.operators.cleaning import clean, preview
 from orderline_kpi.operators.summary import SUMMARY_STATISTICS, summary_statistics
 from orderline_kpi.plans.catalog import KPIS
 from orderline_kpi.plans.reports import BASE, DERIVED
+from orderline_kpi.plans.settings import configure
 from orderline_kpi.schema import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS
 from orderline_kpi.sources.curated import read_curated, write_curated
 from orderline_kpi.sources.raw_csv import profile, read_raw, schema_table, stage_raw
@@ -134,7 +135,11 @@ def _ml_auc(spark: SparkSession, tables_dir: str) -> DataFrame:
     return _trained(spark, tables_dir).auc()
 
 
-QUERIES: dict[str, Query] = {
+def _configured(query: Query) -> Query:
+    return lambda spark, tables_dir: query(configure(spark), tables_dir)
+
+
+QUERIES: dict[str, Query] = {name: _configured(query) for name, query in {
     "ingest_csv_clean": _ingest_csv_clean,
     "ingest_profile": _ingest_profile,
     "ingest_schema": _ingest_schema,
@@ -149,4 +154,4 @@ QUERIES: dict[str, Query] = {
     "ml_features": _ml_features,
     "ml_late_risk_predictions": _ml_predictions,
     "ml_late_risk_auc": _ml_auc,
-}
+}.items()}

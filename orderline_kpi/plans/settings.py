@@ -1,10 +1,20 @@
-"""Session settings the plans count on; all but the last are Spark's defaults."""
+"""Session settings the plans count on."""
 
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+# All but the last are Spark's defaults.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key also where that costs the aggregation behind it a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
