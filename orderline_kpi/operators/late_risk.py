@@ -63,16 +63,28 @@ def split_counts(dataset: DataFrame) -> DataFrame:
     return dataset.groupBy("split").agg(F.count("*").alias("row_count"))
 
 
+def _check_categories(dataset: DataFrame, categorical: Sequence[str], limit: int) -> None:
+    counts = dataset.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    wide = [f"{column} (about {n})" for column, n in counts.asDict().items() if n > limit]
+    if wide:
+        raise ValueError(f"more than {limit} different values in {', '.join(wide)}")
+
+
 def fit_features(
     dataset: DataFrame,
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    max_categories: int = 10_000,
 ) -> PipelineModel:
     """Index and one-hot encode the categories, then assemble ``features``.
 
     The most frequent value has index 0, ties are in alphabetical order.  A value not
     seen in ``dataset`` is encoded as all zeros.
+
+    The list of values goes to the driver and from there to every task, so a column with
+    far more of them than a category has is refused first.  ``dataset`` is read twice.
     """
+    _check_categories(dataset, categorical, max_categories)
     indexed = [f"{column}_idx" for column in categorical]
     encoded = [f"{column}_oh" for column in categorical]
     return Pipeline(stages=[

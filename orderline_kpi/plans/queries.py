@@ -16,7 +16,7 @@ from orderline_kpi.plans.settings import configure
 from orderline_kpi.schema import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS
 from orderline_kpi.sources.curated import read_curated, write_curated
 from orderline_kpi.sources.raw_csv import profile, read_raw, schema_table, stage_raw
-from orderline_kpi.sources.scratch import scratch_path
+from orderline_kpi.sources.scratch import materialize, scratch_path
 from orderline_kpi.sources.star import event_lines, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,14 +100,18 @@ def _ml_split_counts(spark: SparkSession, tables_dir: str) -> DataFrame:
     return late_risk.split_counts(late_risk.with_split(_ml_dataset(spark, tables_dir)))
 
 
+def _stored_ml_dataset(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return materialize(_ml_dataset(spark, tables_dir), "ml_dataset")
+
+
 def _ml_category_index(spark: SparkSession, tables_dir: str) -> DataFrame:
-    dataset = _ml_dataset(spark, tables_dir)
+    dataset = _stored_ml_dataset(spark, tables_dir)
     return late_risk.category_index(late_risk.fit_features(dataset), dataset)
 
 
 def _ml_features(spark: SparkSession, tables_dir: str) -> DataFrame:
     """The feature vectors, spelt out: numbers, set positions and length."""
-    dataset = _ml_dataset(spark, tables_dir)
+    dataset = _stored_ml_dataset(spark, tables_dir)
     vectors = late_risk.fit_features(dataset).transform(dataset).select(
         "order_id", "label", vector_to_array("features").alias("x")
     )

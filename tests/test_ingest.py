@@ -1,0 +1,142 @@
+"""Hand-made CSV rows: decoding, dates, numbers, missing and extra columns."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderline_kpi import (
+    KPIS, MissingColumnsError, clean, kpi, preview, profile, read_curated, read_raw,
+    schema_table, write_curated,
+)
+from orderline_kpi.functions.columns import short_label
+from orderline_kpi.schema import RAW_COLUMNS
+
+HEADERS = [column.header for column in RAW_COLUMNS]
+LINE = {
+    "order date (DateOrders)": "1/31/2018 22:56",
+    "shipping date (DateOrders)": "2/3/2018 2:06",
+    "Sales": "100.5",
+    "Order Profit Per Order": "-7.25",
+    "Late_delivery_risk": "1",
+    "Days for shipping (real)": "3",
+    "Days for shipment (scheduled)": "2",
+    "Order Id": "1",
+    "Customer Id": "9",
+    "Category Name": "Café",
+    "Shipping Mode": "First",
+    "Order Region": "West",
+    "Customer Segment": "Home",
+    "Product Name": '"Lamp, small"',
+    "Order Status": "DONE",
+}
+
+
+def csv(path, *changes, headers=HEADERS):
+    lines = [",".join(headers)]
+    for change in changes:
+        row = LINE | change
+        lines.append(",".join(row.get(header, "") for header in headers))
+    path.write_bytes(("\n".join(lines) + "\n").encode("ISO-8859-1"))
+    return str(path)
+
+
+def test_a_line_is_decoded_and_typed(spark, tmp_path):
+    lines = clean(read_raw(spark, csv(tmp_path / "raw.csv", {})))
+    row = lines.first()
+    assert row.category == "Café"
+    assert row["product"] == "Lamp, small"
+    assert row.order_dt == datetime.datetime(2018, 1, 31, 22, 56)
+    assert row.ship_dt == datetime.datetime(2018, 2, 3, 2, 6)
+    assert (row.sales, row.profit, row.late, row.ship_real) == (100.5, -7.25, 1.0, 3.0)
+    assert dict(lines.dtypes)["order_id"] == "bigint"
+    assert dict(lines.dtypes)["order_dt"] == "timestamp"
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_bad_text_becomes_null_and_no_row_is_lost(spark, tmp_path, infer):
+    path = csv(
+        tmp_path / "raw.csv", {},
+        {"order date (DateOrders)": "soon"}, {"order date (DateOrders)": ""},
+        {"Sales": "abc"}, {"Order Profit Per Order": ""},
+    )
+    rows = clean(read_raw(spark, path, infer_schema=infer)).collect()
+    assert len(rows) == 5
+    assert [row.order_dt is None for row in rows] == [False, True, True, False, False]
+    assert [row.sales for row in rows] == [100.5, 100.5, 100.5, None, 100.5]
+    assert [row.profit for row in rows] == [-7.25, -7.25, -7.25, -7.25, None]
+
+
+def test_null_month_is_a_group_and_comes_first(spark, tmp_path):
+    path = csv(tmp_path / "raw.csv", {}, {"order date (DateOrders)": "soon", "Order Id": "2"})
+    rows = kpi(clean(read_raw(spark, path)), KPIS["monthly_trend"]).collect()
+    assert [(row.order_month, row.orders) for row in rows] == [(None, 1), ("2018-01", 1)]
+
+
+def test_headers_match_in_any_case_order_and_with_extra_columns(spark, tmp_path):
+    headers = ["Market", *reversed([header.upper() for header in HEADERS])]
+    path = tmp_path / "raw.csv"
+    values = {header.upper(): value for header, value in LINE.items()} | {"Market": "EU"}
+    path.write_bytes(
+        (",".join(headers) + "\n" + ",".join(values[h] for h in headers) + "\n")
+        .encode("ISO-8859-1")
+    )
+    row = clean(read_raw(spark, str(path))).first()
+    assert (row.Market, row.sales, row.order_id, row.region) == ("EU", 100.5, 1, "West")
+
+
+def test_name_clash_is_an_error(spark):
+    raw = spark.createDataFrame([("a", "b")], "`Order Region` string, region string")
+    with pytest.raises(ValueError, match="region"):
+        clean(raw)
+
+
+def test_folder_with_different_headers_is_an_error(spark, tmp_path):
+    csv(tmp_path / "a.csv", {})
+    csv(tmp_path / "b.csv", {}, headers=list(reversed(HEADERS)))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(tmp_path)).collect()
+
+
+def test_profile_and_schema(spark, tmp_path):
+    path = csv(tmp_path / "raw.csv", {}, {}, {})
+    assert profile(read_raw(spark, path)).first().asDict() == {
+        "row_count": 3, "column_count": 15,
+    }
+    types = {
+        row.column_name: row.data_type
+        for row in schema_table(read_raw(spark, path, infer_schema=True)).collect()
+    }
+    assert types["Sales"] == "double" and types["Order Id"] == "int"
+    assert types["order date (DateOrders)"] == "string"
+
+
+def test_preview_is_five_lines(spark, tmp_path):
+    path = csv(tmp_path / "raw.csv", *[{"Sales": str(n)} for n in (7, 3, 5, 1, 9, 2)])
+    rows = preview(clean(read_raw(spark, path))).collect()
+    assert [row.sales for row in rows] == [1.0, 2.0, 3.0, 5.0, 7.0]
+
+
+def test_curated_table_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    for n in (3, 2):
+        lines = clean(read_raw(spark, csv(tmp_path / f"{n}.csv", *[{}] * n)))
+        stored = write_curated(lines, path)
+        assert stored.count() == n
+    again = read_curated(spark, path)
+    assert again.count() == 2
+    assert again.dtypes == lines.dtypes
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    headers = [header for header in HEADERS if header != "Customer Segment"]
+    lines = clean(read_raw(spark, csv(tmp_path / "raw.csv", {}, headers=headers)))
+    with pytest.raises(MissingColumnsError, match="customer_segment.*segment"):
+        kpi(lines, KPIS["customer_segment"])
+
+
+def test_label_is_cut_beyond_forty_characters(spark):
+    texts = ["x" * 40, "y" * 41, "", None]
+    df = spark.createDataFrame([(text,) for text in texts], "name string")
+    labels = [row[0] for row in df.select(short_label(F.col("name"))).collect()]
+    assert labels == ["x" * 40, "y" * 40 + "...", "", None]
