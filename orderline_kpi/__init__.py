@@ -2,7 +2,7 @@
 
 from orderline_kpi.operators import (
     Key, Kpi, LateRisk, Order, bubble_feed, clean, correlation_matrix, fit_features, kpi,
-    late_risk_dataset, preview, ranked, shares, shipping_days_series, summary_statistics,
+    late_risk_dataset, preview, ranked, shares, shipping_days_series,
     train_late_risk, with_label,
 )
 from orderline_kpi.plans.catalog import KPIS
@@ -16,6 +16,6 @@ __all__ = [
     "KPIS", "Key", "Kpi", "LateRisk", "MissingColumnsError", "Order", "Reports",
     "bubble_feed", "clean", "configure", "correlation_matrix", "fit_features", "kpi", "late_risk_dataset",
     "preview", "profile", "ranked", "read_curated", "read_raw", "run_all", "run_pipeline",
-    "schema_table", "shares", "shipping_days_series", "summary_statistics",
+    "schema_table", "shares", "shipping_days_series",
     "train_late_risk", "with_label", "write_curated",
 ]

@@ -20,6 +20,7 @@ from pyspark.sql import Column, functions as F
 class Measure:
     column: str | None
     aggregate: Callable[[Column | None], Column]
+    is_distinct: bool = False
 
     def build(self) -> Column:
         return self.aggregate(None if self.column is None else F.col(self.column))
@@ -32,7 +33,7 @@ def rows() -> Measure:
 
 def distinct(column: str) -> Measure:
     """Exact number of different non-null values."""
-    return Measure(column, F.countDistinct)
+    return Measure(column, F.countDistinct, is_distinct=True)
 
 
 def total(column: str) -> Measure:

@@ -8,10 +8,9 @@ from orderline_kpi.operators.late_risk import (
 )
 from orderline_kpi.operators.ranking import ranked, with_label
 from orderline_kpi.operators.shares import bubble_feed, shares, shipping_days_series
-from orderline_kpi.operators.summary import summary_statistics
 
 __all__ = [
     "Key", "Kpi", "LateRisk", "Order", "bubble_feed", "clean", "correlation_matrix",
     "fit_features", "kpi", "late_risk_dataset", "preview", "ranked", "shares",
-    "shipping_days_series", "summary_statistics", "train_late_risk", "with_label",
+    "shipping_days_series", "train_late_risk", "with_label",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,25 +53,71 @@ class Kpi:
     derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     order: tuple[Order, ...] = ()
 
+    @property
+    def key_columns(self) -> tuple[str, ...]:
+        return tuple(key.column for key in self.keys)
+
+    @property
+    def plain_inputs(self) -> tuple[str, ...]:
+        """The order-line columns read for all but the distinct counts."""
+        return self._inputs(distinct=False)
+
     @property
     def inputs(self) -> tuple[str, ...]:
-        """The order-line columns this KPI reads."""
-        columns = [key.column for key in self.keys]
-        columns += [measure.column for measure in self.measures.values() if measure.column]
+        """All order-line columns this KPI reads."""
+        return tuple(dict.fromkeys((*self.plain_inputs, *self._inputs(distinct=True))))
+
+    @property
+    def distinct_measures(self) -> dict[str, list[str]]:
+        """Counted column -> names of the measures that count it."""
+        counted: dict[str, list[str]] = {}
+        for name, measure in self.measures.items():
+            if measure.is_distinct:
+                counted.setdefault(measure.column, []).append(name)
+        return counted
+
+    def _inputs(self, distinct: bool) -> tuple[str, ...]:
+        columns = list(self.key_columns)
+        columns += [
+            measure.column for measure in self.measures.values()
+            if measure.column and measure.is_distinct == distinct
+        ]
         return tuple(dict.fromkeys(columns))
 
 
-def kpi(lines: DataFrame, spec: Kpi) -> DataFrame:
+def _aggregate(lines: DataFrame, spec: Kpi, names: Iterable[str]) -> DataFrame:
+    return lines.groupBy(*[key.build() for key in spec.keys]).agg(
+        *[spec.measures[name].build().alias(name) for name in names]
+    )
+
+
+def kpi(
+    lines: DataFrame, spec: Kpi, distinct_from: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """The KPI table of ``spec`` over these order lines.
 
-    One aggregation: lines are combined before the shuffle, so what moves is one row per
-    task and group (and, for distinct counts, per counted value), however many lines a
-    group holds.
+    Lines are combined before the shuffle, so what moves is one row per task and group,
+    however many lines a group holds.  An exact distinct count has to move every value
+    it counts; it gets an aggregation of its own, so that only keys and values move and
+    not the other measures with each of them.  That reads ``lines`` once more, just those
+    columns: cheap on a stored table, so store expensive ``lines`` first.
+    ``distinct_from`` may give, per counted column, a cheaper table to read them from.
     """
-    require_columns(lines, spec.inputs, spec.name)
-    table = lines.groupBy(*[key.build() for key in spec.keys]).agg(
-        *[measure.build().alias(name) for name, measure in spec.measures.items()]
-    )
+    require_columns(lines, spec.plain_inputs, spec.name)
+    plain = [name for name, measure in spec.measures.items() if not measure.is_distinct]
+    tables = [_aggregate(lines, spec, plain)] if plain else []
+    for column, names in spec.distinct_measures.items():
+        source = (distinct_from or {}).get(column, lines)
+        require_columns(source, [*spec.key_columns, column], spec.name)
+        tables.append(_aggregate(source, spec, names))
+    table = tables[0]
+    if len(tables) > 1:
+        # Each group has one row in every table; a null in the others fills up.
+        for other in tables[1:]:
+            table = table.unionByName(other, allowMissingColumns=True)
+        table = table.groupBy(*[key.name for key in spec.keys]).agg(
+            *[F.max(name).alias(name) for name in spec.measures]
+        )
     shown = {name: column() for name, column in spec.derived.items()}
     shown |= {key.name: key.label(F.col(key.name)) for key in spec.keys if key.label}
     if shown:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderline_kpi.functions.columns import month_label, month_start, percent_of, weekday_label
-from orderline_kpi.functions.measures import distinct, mean, rows, total
+from orderline_kpi.functions.measures import distinct, mean, rows, sample_deviation, total
 from orderline_kpi.operators.kpi import Key, Kpi, Order
-from orderline_kpi.operators.summary import SUMMARY_STATISTICS
 
 
 def _margin(profit: str, sales: str):
@@ -128,6 +127,23 @@ ORDER_STATUS_DISTRIBUTION = Kpi(
     order=(Order("order_count", descending=True), Order("status")),
 )
 
+SUMMARY_STATISTICS = Kpi(
+    "summary_statistics",
+    keys=(),
+    measures={
+        "total_records": rows(),
+        "total_orders": distinct("order_id"),
+        "total_customers": distinct("customer_id"),
+        "total_sales": total("sales"),
+        "avg_sale": mean("sales"),
+        "stddev_sales": sample_deviation("sales"),
+        "total_profit": total("profit"),
+        "avg_profit": mean("profit"),
+        "avg_late_delivery_rate": mean("late"),
+        "avg_shipping_days": mean("ship_real"),
+    },
+)
+
 CATEGORY_SUMMARY = Kpi(
     "category_summary",
     keys=(Key("category"),),

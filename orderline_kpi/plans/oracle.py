@@ -106,6 +106,10 @@ def _index_of(feature: str) -> str:
 
 _INDEXES = tuple(_index_of(feature) for feature in ("ship_mode", "category", "region"))
 
+_MODES = "(SELECT count(*) FROM ship_mode_index)"
+_CATEGORIES = "(SELECT count(*) FROM category_index)"
+_REGIONS = "(SELECT count(*) FROM region_index)"
+
 _NUMERIC = ("sales", "profit", "late", "ship_real", "ship_sched")
 _CORRELATIONS = "\nUNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 3) AS r FROM fact"
@@ -233,20 +237,14 @@ FROM dataset GROUP BY 1""",
         _DATASET, *_INDEXES,
     ),
     "ml_features": _on_fact(
-        """SELECT order_id, label, ship_real, ship_sched, sales,
-       (3 + m.idx)::VARCHAR || ',' || (3 + modes + c.idx)::VARCHAR || ','
-         || (3 + modes + categories + r.idx)::VARCHAR AS set_positions,
-       (3 + modes + categories + regions)::INT AS width
+        f"""SELECT order_id, label, ship_real, ship_sched, sales,
+       (3 + m.idx)::VARCHAR || ',' || (3 + {_MODES} + c.idx)::VARCHAR || ','
+         || (3 + {_MODES} + {_CATEGORIES} + r.idx)::VARCHAR AS set_positions,
+       (3 + {_MODES} + {_CATEGORIES} + {_REGIONS})::INT AS width
 FROM dataset
 JOIN ship_mode_index m ON ship_mode = m.value
 JOIN category_index c ON category = c.value
-JOIN region_index r ON region = r.value
-CROSS JOIN sizes""",
+JOIN region_index r ON region = r.value""",
         _DATASET, *_INDEXES,
-        """sizes AS (
-  SELECT (SELECT count(*) FROM ship_mode_index) AS modes,
-         (SELECT count(*) FROM category_index) AS categories,
-         (SELECT count(*) FROM region_index) AS regions
-)""",
     ),
 }

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderline_kpi.operators import late_risk
 from orderline_kpi.operators.cleaning import clean, preview
-from orderline_kpi.operators.summary import SUMMARY_STATISTICS, summary_statistics
+from orderline_kpi.operators.correlation import correlation_matrix
+from orderline_kpi.operators.kpi import kpi
 from orderline_kpi.plans.catalog import KPIS
-from orderline_kpi.plans.reports import BASE, DERIVED
+from orderline_kpi.plans.reports import DERIVED
 from orderline_kpi.plans.settings import configure
 from orderline_kpi.schema import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS
 from orderline_kpi.sources.curated import read_curated, write_curated
@@ -28,28 +29,30 @@ CLEAN_COLUMNS = tuple(c.name for c in RAW_COLUMNS if c.name not in DATE_COLUMNS)
 _ON_EVENTS = ("hourly_pattern", "weekday_pattern")
 
 
-def _lines_for(spark: SparkSession, tables_dir: str, name: str) -> DataFrame:
-    if name in _ON_EVENTS:
-        return event_lines(spark, tables_dir)
-    inputs = KPIS[name].inputs if name in KPIS else NUMERIC_COLUMNS
-    return order_lines(spark, tables_dir, inputs)
+def _correlation_matrix(spark: SparkSession, tables_dir: str) -> DataFrame:
+    return correlation_matrix(order_lines(spark, tables_dir, NUMERIC_COLUMNS))
 
 
-def _base_query(name: str) -> Query:
-    return lambda spark, tables_dir: BASE[name](_lines_for(spark, tables_dir, name))
+def _kpi_query(name: str) -> Query:
+    spec = KPIS[name]
 
+    def query(spark: SparkSession, tables_dir: str) -> DataFrame:
+        if name in _ON_EVENTS:
+            return kpi(event_lines(spark, tables_dir), spec)
+        return kpi(
+            order_lines(spark, tables_dir, spec.plain_inputs), spec,
+            {
+                column: order_lines(spark, tables_dir, [*spec.key_columns, column])
+                for column in spec.distinct_measures
+            },
+        )
 
-def _derived_query(name: str) -> Query:
-    source, report = DERIVED[name]
-    return lambda spark, tables_dir: report(_base_query(source)(spark, tables_dir))
+    return query
 
 
-def _summary(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return summary_statistics(
-        order_lines(spark, tables_dir, SUMMARY_STATISTICS.inputs),
-        order_ids=order_lines(spark, tables_dir, ["order_id"]),
-        customer_ids=order_lines(spark, tables_dir, ["customer_id"]),
-    )
+def _derived_query(name: str) -> Query:
+    source, report = DERIVED[name]
+    return lambda spark, tables_dir: report(_kpi_query(source)(spark, tables_dir))
 
 
 def _staged_csv(spark: SparkSession, tables_dir: str) -> str:
@@ -87,7 +90,8 @@ def _clean_preview(spark: SparkSession, tables_dir: str) -> DataFrame:
 
 
 def _rounded_deviation(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return _summary(spark, tables_dir).withColumn("stddev_sales", F.round("stddev_sales", 6))
+    summary = _kpi_query("summary_statistics")(spark, tables_dir)
+    return summary.withColumn("stddev_sales", F.round("stddev_sales", 6))
 
 
 def _ml_dataset(spark: SparkSession, tables_dir: str) -> DataFrame:
@@ -149,8 +153,9 @@ QUERIES: dict[str, Query] = {name: _configured(query) for name, query in {
     "ingest_schema": _ingest_schema,
     "curated_roundtrip": _curated_roundtrip,
     "clean_preview": _clean_preview,
-    **{name: _base_query(name) for name in BASE},
+    **{name: _kpi_query(name) for name in KPIS},
     "summary_statistics": _rounded_deviation,
+    "correlation_matrix": _correlation_matrix,
     **{name: _derived_query(name) for name in DERIVED},
     "ml_dataset": _ml_dataset,
     "ml_split_counts": _ml_split_counts,

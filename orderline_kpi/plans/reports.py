@@ -11,7 +11,6 @@ from orderline_kpi.operators.correlation import correlation_matrix
 from orderline_kpi.operators.kpi import Order, kpi
 from orderline_kpi.operators.ranking import ranked, with_label
 from orderline_kpi.operators.shares import bubble_feed, shares, shipping_days_series
-from orderline_kpi.operators.summary import SUMMARY_STATISTICS, summary_statistics
 from orderline_kpi.plans.catalog import KPIS
 from orderline_kpi.schema import MissingColumnsError
 
@@ -22,9 +21,8 @@ def _base(name: str) -> Callable[[DataFrame], DataFrame]:
 
 # Analyses of order lines.
 BASE: dict[str, Callable[[DataFrame], DataFrame]] = {
-    name: _base(name) for name in KPIS if name != SUMMARY_STATISTICS.name
+    name: _base(name) for name in KPIS
 } | {
-    "summary_statistics": summary_statistics,
     "correlation_matrix": correlation_matrix,
 }
 

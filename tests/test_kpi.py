@@ -7,7 +7,6 @@ import pytest
 
 from orderline_kpi import (
     KPIS, MissingColumnsError, Order, correlation_matrix, kpi, ranked, run_all, shares,
-    summary_statistics,
 )
 from orderline_kpi.plans.queries import QUERIES
 
@@ -47,13 +46,13 @@ def test_mean_without_any_value_is_null(lines):
 
 
 def test_summary(lines, spark):
-    row = summary_statistics(lines).first()
+    row = kpi(lines, KPIS["summary_statistics"]).first()
     assert (row.total_records, row.total_orders, row.total_customers) == (5, 4, 2)
     assert row.avg_sale == 12.0
     assert math.isclose(row.stddev_sales, pd.Series([10.0, 30, 20, 0, 0]).std())
-    single = summary_statistics(lines.where("product = 'ink'")).first()
+    single = kpi(lines.where("product = 'ink'"), KPIS["summary_statistics"]).first()
     assert single.stddev_sales is None and single.total_profit is None
-    empty = summary_statistics(lines.where("product = 'none'")).first()
+    empty = kpi(lines.where("product = 'none'"), KPIS["summary_statistics"]).first()
     assert (empty.total_records, empty.total_orders, empty.avg_sale) == (0, 0, None)
 
 

@@ -43,8 +43,10 @@ def test_scan_reads_only_what_is_used(spark, tables_dir):
 
 
 @pytest.mark.parametrize("name, joins", [
-    ("category_contribution", 1), ("product_performance", 1), ("shipping_mode_performance", 1),
-    ("monthly_trend", 2), ("customer_segment", 3), ("regional_performance", 5),
+    ("product_performance", 1), ("shipping_mode_performance", 1),
+    # For the measures + for the distinct orders.
+    ("category_contribution", 1 + 1), ("monthly_trend", 2 + 1), ("customer_segment", 3 + 2),
+    ("regional_performance", 5 + 4), ("summary_statistics", 2 + 0 + 1),
 ])
 def test_only_needed_tables_are_joined(name, joins, spark, tables_dir):
     plan = plan_of(QUERIES[name](spark, tables_dir))
@@ -54,9 +56,15 @@ def test_only_needed_tables_are_joined(name, joins, spark, tables_dir):
 def test_distinct_orders_need_no_shuffle_behind_the_order_join(spark, tables_dir, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(QUERIES["monthly_trend"](spark, tables_dir))
-    above_the_join = plan.split("SortMergeJoin [l_orderkey")[0]
-    keys = re.findall(r"Exchange (\w+)\((\w+)", above_the_join)
-    assert keys == [("rangepartitioning", "order_month"), ("hashpartitioning", "_groupingexpression")]
+    assert re.search(r"HashAggregate\(keys=\[_groupingexpression#\w+, order_id#\w+\]", plan)
+    assert not re.search(r"Exchange hashpartitioning\([^)]*order_id", plan)
+
+
+def test_measures_do_not_travel_with_counted_values(spark, tables_dir):
+    plan = plan_of(QUERIES["category_summary"](spark, tables_dir))
+    by_order = re.findall(r"HashAggregate\(keys=\[category#\w+, order_id#\w+\], functions=\[(.*)\]\)", plan)
+    assert by_order and set(by_order) == {""}
+    assert re.search(r"Exchange hashpartitioning\(category#\w+, order_id", plan)
 
 
 def test_two_distinct_counts_do_not_multiply_rows(spark, tables_dir):

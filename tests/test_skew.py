@@ -30,8 +30,8 @@ def test_hot_keys_are_split_and_results_are_whole(name, spark, skewed_dir, setti
     configure(spark)
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")
-    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
     result = contract.queries()[name](spark, skewed_dir)
     got = result.toPandas()
     expected = views_of(skewed_dir).execute(contract.oracle_sql()[name]).df()
