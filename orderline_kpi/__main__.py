@@ -24,7 +24,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     for name in reports:
         print(name)
-        reports[name].show(12, truncate=False)
+        reports[name].show(24, truncate=False)
     for name, reason in reports.skipped.items():
         print(f"skipped {name}: {reason}")
 

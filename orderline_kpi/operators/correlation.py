@@ -108,8 +108,10 @@ def correlation_matrix(
         for i, x in enumerate(present) for j, y in enumerate(present)
     )
     slot = F.col("a") * len(present) + F.col("b")
+    # Other than round, this keeps the sign of a small negative r.
+    rounded = F.rint(F.col("r") * 10**digits) / 10**digits
     return (
         upper.agg(F.map_from_entries(F.collect_list(F.struct(slot, "r"))).alias("r"))
         .select(F.expr(f"inline(array({cells}))"))
-        .select("col_a", "col_b", F.round("r", digits).alias("r"))
+        .select("col_a", "col_b", rounded.alias("r"))
     )

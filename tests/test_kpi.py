@@ -6,8 +6,9 @@ import pandas as pd
 import pytest
 
 from orderline_kpi import (
-    KPIS, MissingColumnsError, Order, correlation_matrix, kpi, ranked, run_all, shares,
+    KPIS, Key, Kpi, MissingColumnsError, Order, correlation_matrix, kpi, ranked, run_all, shares,
 )
+from orderline_kpi.functions.measures import distinct, total
 from orderline_kpi.plans.queries import QUERIES
 
 SCHEMA = (
@@ -56,6 +57,30 @@ def test_summary(lines, spark):
     assert (empty.total_records, empty.total_orders, empty.avg_sale) == (0, 0, None)
 
 
+def test_a_kpi_of_ones_own(lines):
+    spec = Kpi(
+        "reach", keys=(Key("category"),), measures={"buyers": distinct("customer_id")},
+        order=(Order("buyers", descending=True), Order("category")),
+    )
+    assert [tuple(r) for r in kpi(lines, spec).collect()] == [("office", 1), ("travel", 1)]
+    overall = Kpi("all", keys=(), measures={"a": distinct("order_id"), "b": distinct("order_id")})
+    assert tuple(kpi(lines, overall).first()) == (4, 4)
+
+
+def test_null_groups_and_groups_without_a_counted_value_are_kept(spark):
+    lines = spark.createDataFrame(
+        [(None, 1, 5.0), (None, 1, 6.0), ("a", None, 7.0), ("b", 2, None)],
+        "category string, order_id bigint, sales double",
+    )
+    spec = Kpi(
+        "by_category", keys=(Key("category"),),
+        measures={"orders": distinct("order_id"), "sales": total("sales")},
+        order=(Order("category"),),
+    )
+    got = [(r.category, r.orders, r.sales) for r in kpi(lines, spec).collect()]
+    assert got == [(None, 1, 11.0), ("a", 0, 7.0), ("b", 1, None)]
+
+
 def test_tie_at_the_last_place_goes_by_name(spark):
     rows = [(f"p{i:02d}", "c", 100.0 - i) for i in range(9)]
     rows += [("zz", "c", 1.0), ("aa", "d", 1.0), ("aa", "c", 1.0)]
