@@ -60,12 +60,12 @@ class Kpi:
     @property
     def plain_inputs(self) -> tuple[str, ...]:
         """The order-line columns read for all but the distinct counts."""
-        return self._inputs(distinct=False)
-
-    @property
-    def inputs(self) -> tuple[str, ...]:
-        """All order-line columns this KPI reads."""
-        return tuple(dict.fromkeys((*self.plain_inputs, *self._inputs(distinct=True))))
+        columns = list(self.key_columns)
+        columns += [
+            measure.column for measure in self.measures.values()
+            if measure.column and not measure.is_distinct
+        ]
+        return tuple(dict.fromkeys(columns))
 
     @property
     def distinct_measures(self) -> dict[str, list[str]]:
@@ -76,14 +76,6 @@ class Kpi:
                 counted.setdefault(measure.column, []).append(name)
         return counted
 
-    def _inputs(self, distinct: bool) -> tuple[str, ...]:
-        columns = list(self.key_columns)
-        columns += [
-            measure.column for measure in self.measures.values()
-            if measure.column and measure.is_distinct == distinct
-        ]
-        return tuple(dict.fromkeys(columns))
-
 
 def _aggregate(lines: DataFrame, spec: Kpi, names: Iterable[str]) -> DataFrame:
     return lines.groupBy(*[key.build() for key in spec.keys]).agg(
