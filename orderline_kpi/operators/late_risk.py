@@ -135,13 +135,24 @@ class LateRisk:
         )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, for passes that compute more than they read.
+def _fit_model(train: DataFrame, features: PipelineModel) -> LogisticRegressionModel:
+    """Fit on the stored train side.
 
-    Only a table too small for that many files or splits is shuffled.
+    Fitting computes far more than it reads.  A table of fewer splits than there are cores
+    is therefore spread over them and held meanwhile; a larger one is scanned as it is,
+    and only the blocks that the regression itself keeps are cached.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    is_small = train.rdd.getNumPartitions() < cores
+    ready = features.transform(train.repartition(cores) if is_small else train)
+    ready = ready.select("label", "features")
+    if is_small:
+        ready.persist()
+    try:
+        return LogisticRegression(labelCol="label", featuresCol="features").fit(ready)
+    finally:
+        if is_small:
+            ready.unpersist()
 
 
 def train_late_risk(
@@ -161,6 +172,5 @@ def train_late_risk(
     )
     train = staged.where(F.col("split") == "train")
     features = fit_features(train, numeric)
-    ready = _spread(train).transform(features.transform).select("label", "features")
-    model = LogisticRegression(labelCol="label", featuresCol="features").fit(ready)
+    model = _fit_model(train, features)
     return LateRisk(features, model, staged.where(F.col("split") == "test"))
