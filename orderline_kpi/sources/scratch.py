@@ -2,41 +2,64 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_root: str | None = None
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
 
-    Where that is unset, a local-mode session gets a temporary folder; on a cluster it
-    is an error, since other machines could not read it.
+    Both are storage that every executor reaches.
     """
-    global _local_root
     root = spark.conf.get(_SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-        if _local_root is None:
-            _local_root = tempfile.mkdtemp(prefix="orderline-")
-            atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-        root = _local_root
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return the table read back.
+class WorkArea:
+    """A folder of its own for the working tables of one computation.
 
-    Several passes over the result then cost a pruned scan each, and a lost executor
-    costs a re-read instead of a re-run of everything upstream.
+    ``close()``, or leaving a ``with`` block, deletes it with all tables in it; results
+    that read them must have been used or written by then.  ``root`` replaces the
+    session's shared folder.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, label: str, root: str | None = None) -> None:
+        self.spark = spark
+        self.path = f"{(root or shared_root(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+    def file(self, name: str) -> str:
+        """A new path in this area."""
+        return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def table(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` as Parquet and return the table read back.
+
+        Several passes over the result then cost a pruned scan each, and a lost executor
+        costs a re-read instead of a re-run of everything upstream.
+        """
+        path = self.file(name)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> WorkArea:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the session's shared folder."""
+    return WorkArea(spark, label).file(label)
+
+
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a working table of its own."""
+    return WorkArea(df.sparkSession, label).table(df, label, partition_by)

@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as contract
 from conftest import rows_of
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from orderline_kpi.plans.oracle import ORACLE_SQL as ORACLE
+from orderline_kpi.plans.queries import QUERIES
+
 
 
 def test_only_the_fitted_model_has_no_sql():
