@@ -41,6 +41,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+OP7_DECONTAMINATION = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), tests AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[p:p + 9], ' ') AS phrase
+    FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 8, 2))) AS p FROM tests WHERE len(words) > 0)
+), starts AS (
+    SELECT r, n, p, array_to_string(words[p:p + n - 1], ' ') AS phrase
+    FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS p
+          FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)
+), matches AS (
+    SELECT r, p, n, item FROM starts JOIN windows USING (n, phrase)
+), hits AS (
+    SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM matches) GROUP BY r
+), found AS (
+    SELECT r, count(DISTINCT item) AS n_items,
+           array_to_string(list_sort(list(DISTINCT item)), ',') AS items
+    FROM matches GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": OP7_DECONTAMINATION,
     "op8_quality_rules": OP8_QUALITY_RULES,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import quality_rules, sharding
+from orderline_kpi.llm import decontaminate, quality_rules, sharding
 from orderline_kpi.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.Decontaminator(documents, benchmark).documents().select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read_table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -28,5 +37,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
