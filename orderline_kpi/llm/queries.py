@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import decontaminate, quality_rules, sharding
+from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding
 from orderline_kpi.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return tokens.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.Decontaminator(documents, benchmark).documents().select(
@@ -37,6 +47,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_bpe": op2_bpe,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
