@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderline_kpi.llm import quality_rules
-from orderline_kpi.llm.common import read_table
+from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,7 +29,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each one's result written and read again as the next one's input."""
     work = WorkArea(spark, "pipeline")
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(share_package(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = work.table(stage(spark, docs, sf_dir), name)
     return docs

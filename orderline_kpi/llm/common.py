@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space between words, as a Java regular expression.
@@ -12,6 +15,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers that start from now on import this package from where the driver has it.
+
+    For a checkout that is on every machine or in local mode; ``--py-files`` does it otherwise.
+    """
+    environment = spark.sparkContext.environment
+    root, known = str(Path(__file__).parents[2]), environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return spark
+
+
 def filled(text: Column) -> Column:
     """The text, a null one as an empty one."""
     return F.coalesce(text.cast("string"), F.lit(""))

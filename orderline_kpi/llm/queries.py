@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding
-from orderline_kpi.llm.common import read_table
+from orderline_kpi.llm.common import read_table, share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,9 +45,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+def _shared(query: Query) -> Query:
+    return lambda spark, sf_dir: query(share_package(spark), sf_dir)
+
+
+QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
-}
+}.items()}

@@ -106,7 +106,7 @@ def shard(
         "first long, last long, node int")
     slices = work.table(
         keys.groupBy("slice").agg(F.sum("copies").alias("load"))
-        .join(F.broadcast(nodes), F.col("slice").between(F.col("first"), F.col("last")))
+        .join(F.broadcast(nodes.select("node", F.explode(F.sequence("first", "last")).alias("slice"))), "slice")
         # Slices behind the last node belong to the first one and come first in its order.
         .withColumn("before", F.coalesce(F.sum("load").over(
             Window.partitionBy("node").orderBy((F.col("slice") <= points[0][0]).cast("int"), "slice")
