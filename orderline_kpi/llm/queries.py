@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding
+from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash
 from orderline_kpi.llm.common import read_table, share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.Decontaminator(documents, benchmark).documents().select(
@@ -52,6 +57,7 @@ def _shared(query: Query) -> Query:
 QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
+    "op3_simhash": op3_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }.items()}
