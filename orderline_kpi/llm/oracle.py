@@ -73,7 +73,33 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)
 """
 
+OP10_SUBSTRING_DEDUP = r"""
+WITH docs AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS r, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT r, p, array_to_string(words[p:p + 19], ' ') AS phrase
+    FROM (SELECT r, words, unnest(range(1, len(words) - 18)) AS p FROM docs WHERE len(words) >= 20)
+), repeats AS (
+    SELECT r, p FROM (
+        SELECT r, p, row_number() OVER (PARTITION BY phrase ORDER BY r, p) AS k FROM windows) WHERE k > 1
+), removed AS (
+    SELECT r, list(DISTINCT q) AS gone FROM (SELECT r, unnest(range(p, p + 20)) AS q FROM repeats) GROUP BY r
+), listed AS (
+    SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS q FROM docs WHERE r IN (SELECT r FROM removed)
+), gone AS (
+    SELECT r, unnest(gone) AS q FROM removed
+), rest AS (
+    SELECT r, string_agg(word, ' ' ORDER BY q) AS kept FROM listed ANTI JOIN gone USING (r, q) GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(words, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM docs LEFT JOIN removed USING (r) LEFT JOIN rest USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": OP7_DECONTAMINATION,
     "op8_quality_rules": OP8_QUALITY_RULES,
+    "op10_substring_dedup": OP10_SUBSTRING_DEDUP,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash
+from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash, substring_dedup
 from orderline_kpi.llm.common import read_table, share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _shared(query: Query) -> Query:
     return lambda spark, sf_dir: query(share_package(spark), sf_dir)
 
@@ -60,4 +65,5 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op3_simhash": op3_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }.items()}
