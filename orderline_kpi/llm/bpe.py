@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack
 
@@ -25,7 +25,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderline_kpi.llm.common import filled
 
@@ -37,7 +37,7 @@ PIECES = (
 WORD_END = "</w>"
 _END = 0x1000  # added to the character of a byte that ends a piece
 
-_MEMO_ITEMS = 500_000
+_MEMO_ITEMS = 300_000
 _MEMO_BYTES = 64
 _ROWS_OUT = 512
 
@@ -78,9 +78,7 @@ class Bpe:
         steps = [step["type"] for step in spec["normalizer"]["normalizers"]]
         if model["end_of_word_suffix"] != WORD_END or steps != ["NFC", "Replace", "Lowercase"] or spec["decoder"]:
             raise ValueError("not a tokenizer of the supported kind")
-        self.pieces = {number: token for token, number in vocabulary.items()}
         self.special = {token["content"]: token["id"] for token in spec["added_tokens"]}
-        self.pieces |= {number: token for token, number in self.special.items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self._split = regex.compile(PIECES)
         characters = _byte_characters()
@@ -171,41 +169,66 @@ class Bpe:
             for part in self._special.split(text)
         )
 
-    def decode(self, ids: bytes) -> str:
-        """The tokens of ids, joined by spaces, as the library does for files without a decoder."""
-        return " ".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+def join_pieces(ids: bytes, pieces: dict[int, str]) -> str:
+    """The tokens of ids, joined by spaces, as the library does for files without a decoder."""
+    return " ".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-@lru_cache(maxsize=4)
+
+@lru_cache(maxsize=2)
+def load_pieces(path: str) -> dict[int, str]:
+    """The token of each id."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return {number: token for token, number in spec["model"]["vocab"].items()} | {
+        token["id"]: token["content"] for token in spec["added_tokens"]}
+
+
+@lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     """The tokenizer of a file, built once per process."""
     return Bpe(path)
 
 
-def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, and ``ids``, those of its whole text, in 4 bytes each, little-endian.
+def _per_text(docs: DataFrame, column: str, value: Column, columns: list[str], schema: str, work: Callable) -> DataFrame:
+    """``columns`` of ``docs`` and what ``work`` makes of ``value``, a few rows at a time: results may be long."""
+    rows = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)], value.alias(column))
+    kept = [f"c{k}" for k in range(len(columns))]
+    types = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in kept)
 
-    A null text counts as empty and has no ids.  Special tokens written out in a text become their ids.
-    Repeated rows stay.  Nothing is shuffled; ``path`` must be readable on all executors.
-    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
         for batch in batches:
             for first in range(0, len(batch), _ROWS_OUT):
-                rows = batch[first:first + _ROWS_OUT]
-                yield pd.DataFrame({"id": rows["id"], "ids": [bpe.encode(text) for text in rows["text"]]})
+                part = batch[first:first + _ROWS_OUT]
+                yield part[kept].assign(**work(part[column]))
+
+    return rows.mapInPandas(run, types + schema).withColumnsRenamed(dict(zip(kept, columns, strict=True)))
+
+
+def encode(docs: DataFrame, path: str, columns: list[str], text_column: str = "text") -> DataFrame:
+    """``columns`` of each row of ``docs``, and ``ids``: those of its whole text, in 4 bytes each, little-endian.
+
+    A null text counts as empty and has no ids.  Special tokens written out in a text become
+    their ids.  Repeated rows stay; an empty table gives an empty result.  Nothing is shuffled;
+    ``path`` must be readable on all executors.
+    """
+    return _per_text(
+        docs, "text", filled(F.col(text_column)), columns, "ids binary",
+        lambda texts: {"ids": [load(path).encode(text) for text in texts]})
+
 
-    rows = docs.select(F.col(id_column).alias("id"), filled(F.col(text_column)).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, ids binary").withColumnRenamed("id", id_column)
+def decode(tokens: DataFrame, path: str, columns: list[str], ids_column: str = "ids") -> DataFrame:
+    """``columns`` of each row of ``tokens``, and ``decoded``: the text of ``ids_column``; a null one has none."""
+    return _per_text(
+        tokens, "ids", F.col(ids_column), columns, "decoded string",
+        lambda rows: {"decoded": [None if ids is None else join_pieces(ids, load_pieces(path)) for ids in rows]})
 
 
-def decode(tokens: DataFrame, path: str, ids_column: str = "ids", into: str = "decoded") -> DataFrame:
-    """``tokens`` with a column ``into``: the text of ``ids_column``; a null one has none."""
-    @F.pandas_udf("string")
-    def run(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = load(path)
-        for ids in column:
-            yield pd.Series([None if x is None else bpe.decode(x) for x in ids])
+def round_trip(docs: DataFrame, path: str, columns: list[str], text_column: str = "text") -> DataFrame:
+    """What ``encode`` and then ``decode`` of its ids return, in one pass over the texts."""
+    def work(texts: pd.Series) -> dict[str, list]:
+        ids = [load(path).encode(text) for text in texts]
+        return {"ids": ids, "decoded": [join_pieces(row, load_pieces(path)) for row in ids]}
 
-    return tokens.withColumn(into, run(F.col(ids_column)))
+    return _per_text(
+        docs, "text", filled(F.col(text_column)), columns, "ids binary, decoded string", work)

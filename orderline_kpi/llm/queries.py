@@ -22,8 +22,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    tokens = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
-    return tokens.select(
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), path, ["doc_id"]).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
