@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash, substring_dedup
+from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash, substring_dedup, warc
 from orderline_kpi.llm.common import read_table, share_package
+from orderline_kpi.sources.scratch import WorkArea
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = WorkArea(spark, "warc").file("archives")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_records(spark, path, with_payload=False))
+    return captures.select(
+        F.col("response.page_id").alias("page_id"),
+        F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
+        F.col("response.refers_to_page").alias("refers_to"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.Decontaminator(documents, benchmark).documents().select(
@@ -62,6 +75,7 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
+    "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
