@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, quality_rules, sharding, simhash, substring_dedup, warc
+from orderline_kpi.llm import bpe, decontaminate, pii, quality_rules, sharding, simhash, substring_dedup, warc
 from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
@@ -62,6 +62,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(pii.BASE_KINDS)],
+        F.sha2("base_text", 256).alias("base_sha256"), F.col("spans_text").alias("spans"),
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -78,5 +87,6 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
 }.items()}
