@@ -257,7 +257,8 @@ def find_personal_data(docs: DataFrame, columns: list[str], text_column: str = "
         return score > 0
 
     span = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
-    spans = F.sort_array(F.transform(F.filter("candidates", lambda c: c["base"] | personal(c)), span))
+    spans = F.sort_array(F.transform(F.filter(
+        "candidates", lambda c: c["base"] | ((c["check"] == 0) & personal(c))), span))
     return found.select(
         *[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)],
         F.transform("base", span).alias("base"), spans.alias("spans"),
