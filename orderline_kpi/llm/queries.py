@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, pii, quality_rules, sharding, simhash, substring_dedup, warc
+from orderline_kpi.llm import bpe, decontaminate, pii, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
 from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
@@ -34,6 +34,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = quality_model.score(documents, quality_model.train(documents, labels))
+    return scored.select(
+        "doc_id", quality_model.is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = WorkArea(spark, "warc").file("archives")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
@@ -84,6 +93,7 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
