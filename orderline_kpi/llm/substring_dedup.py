@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderline_kpi.llm.common import filled
 from orderline_kpi.llm.packing import SCHEMA, pack, unpack
+from orderline_kpi.sources.scratch import WorkArea
 
 _BATCH_WORDS = 1 << 20
 _NO_ID = -(1 << 63)
@@ -181,8 +182,11 @@ def _cut(window: int) -> Callable:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for text, starts in zip(frame["text"], frame["positions"], strict=True):
+            for text, copy, starts in zip(frame["text"], frame["copy"], frame["positions"], strict=True):
                 words = text.encode("utf-8").split()
+                if copy is True and len(words) >= window:
+                    out.append((len(words), len(words), ""))
+                    continue
                 if starts is None or not len(starts):
                     out.append((len(words), 0, b" ".join(words).decode("utf-8")))
                     continue
@@ -193,7 +197,7 @@ def _cut(window: int) -> Callable:
                 kept = [word for word, stays in zip(words, keep, strict=True) if stays]
                 out.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8")))
             result = pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
-            yield result.assign(id=frame["doc"].to_numpy())[["id", "n_words", "n_removed", "kept"]]
+            yield result.assign(id=frame["id"].to_numpy())[["id", "n_words", "n_removed", "kept"]]
 
     return run
 
@@ -205,16 +209,21 @@ def remove_repeats(
 
     A word goes if a window of ``window`` words (an even number) around it also starts earlier.  Words stand
     between ASCII white space; null texts have none.  Each text is judged as it came, not
-    by what is left of others.  An empty table gives an empty result.
+    by what is left of others.  Ids are integers.  An empty table gives an empty result.
     """
     if window < 2 or window % 2:
         raise ValueError("window must be an even number")
     spark = docs.sparkSession
     text = filled(F.col(text_column))
+    kind = docs.select(id_column).schema[0].dataType.simpleString()
+    # All stages take these rows, with these columns, by document: their shuffle is done once.
     texts = docs.select(
-        F.col(id_column).alias("doc"), F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"),
+        F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"),
         F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), text.alias("text"),
     )
+    copies = _copies(texts, WorkArea(spark, "substrings"))
+    texts = texts.join(copies.withColumn("copy", F.lit(True)), ["id", "tie"], "left")
+    own = texts.where("copy IS NULL").select("id", "tie", "text")
     # Buckets are read one at a time; there are as many as shuffle partitions, or up to twice that.
     bits = min(14, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     found = "id long, tie long, positions array<int>"
@@ -223,13 +232,23 @@ def remove_repeats(
     gathered = lambda rows: rows.groupBy("id", "tie").agg(
         F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
     hits = gathered(
-        texts.select("id", "tie", "text").mapInPandas(_probes(window, first), SCHEMA)
-        .groupBy("bucket").applyInPandas(first.receive(), found))
+        own.mapInPandas(_probes(window, first), SCHEMA).groupBy("bucket").applyInPandas(first.receive(), found))
     repeats = gathered(
-        texts.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions")
+        own.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions")
         .mapInPandas(_windows(window, second), SCHEMA)
         .groupBy("bucket").applyInPandas(second.receive(), found))
-    kind = texts.schema["doc"].dataType.simpleString()
-    return texts.join(repeats, ["id", "tie"], "left").select("doc", "text", "positions").mapInPandas(
-        _cut(window), f"id {kind}, n_words long, n_removed long, kept string"
-    ).withColumnRenamed("id", id_column)
+    cut = texts.join(repeats, ["id", "tie"], "left").select("id", "text", "copy", "positions").mapInPandas(
+        _cut(window), "id long, n_words long, n_removed long, kept string")
+    return cut.withColumn("id", F.nullif("id", F.lit(_NO_ID)).cast(kind)).withColumnRenamed("id", id_column)
+
+
+def _copies(texts: DataFrame, work: WorkArea) -> DataFrame:
+    """The documents (id, tie) whose whole text an earlier one has too.
+
+    They need no search: their windows all start earlier, and no window starts first in them.
+    """
+    keys = work.table(texts.select("id", "tie", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
+    firsts = keys.groupBy("digest").agg(F.min(F.struct("id", "tie")).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = work.table(firsts.where("n > 1"), "copied")
+    return work.table(
+        keys.join(firsts, "digest").where(F.struct("id", "tie") > F.col("first")).select("id", "tie"), "copies")
