@@ -44,9 +44,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = WorkArea(spark, "warc").file("archives")
+    work = WorkArea(spark, "warc")
+    path = work.file("archives")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
-    captures = warc.assemble(warc.read_records(spark, path, with_payload=False))
+    # The archives are parsed once; three sides of the assembly read what was found.
+    captures = warc.assemble(work.table(warc.read_records(spark, path, with_payload=False), "records"))
     return captures.select(
         F.col("response.page_id").alias("page_id"),
         F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
