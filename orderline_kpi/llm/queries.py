@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, pii, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
+from orderline_kpi.llm import bpe, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
 from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
@@ -43,6 +43,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_lines(read_table(spark, sf_dir, "documents"), ["doc_id", "text"]).select(
+        "doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), "gone",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = WorkArea(spark, "warc")
     path = work.file("archives")
@@ -96,6 +102,7 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
