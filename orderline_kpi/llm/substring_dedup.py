@@ -29,7 +29,7 @@ from orderline_kpi.llm.common import filled
 from orderline_kpi.llm.packing import SCHEMA, pack, unpack
 from orderline_kpi.sources.scratch import WorkArea
 
-_BATCH_WORDS = 1 << 20
+_BATCH_WORDS = 1 << 19
 _NO_ID = -(1 << 63)
 
 
@@ -118,7 +118,7 @@ class _Round:
 
 
 def _batches_of_words(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
-    """Rows in the order of their documents, with their words, at most about a million words at once."""
+    """Rows in the order of their documents, with their words, at most about half a million words at once."""
     for frame in frames:
         rows, words, n = [], [], 0
         for k, text in enumerate(frame["text"]):
@@ -216,14 +216,13 @@ def remove_repeats(
     spark = docs.sparkSession
     text = filled(F.col(text_column))
     kind = docs.select(id_column).schema[0].dataType.simpleString()
-    # All stages take these rows, with these columns, by document: their shuffle is done once.
+    # Both joins below shuffle just these rows and columns by document, so Spark does it once.
     texts = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"),
         F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), text.alias("text"),
     )
     copies = _copies(texts, WorkArea(spark, "substrings"))
-    texts = texts.join(copies.withColumn("copy", F.lit(True)), ["id", "tie"], "left")
-    own = texts.where("copy IS NULL").select("id", "tie", "text")
+    own = texts.join(copies, ["id", "tie"], "left_anti")
     # Buckets are read one at a time; there are as many as shuffle partitions, or up to twice that.
     bits = min(14, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     found = "id long, tie long, positions array<int>"
@@ -234,10 +233,12 @@ def remove_repeats(
     hits = gathered(
         own.mapInPandas(_probes(window, first), SCHEMA).groupBy("bucket").applyInPandas(first.receive(), found))
     repeats = gathered(
-        own.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions")
+        texts.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions")
         .mapInPandas(_windows(window, second), SCHEMA)
         .groupBy("bucket").applyInPandas(second.receive(), found))
-    cut = texts.join(repeats, ["id", "tie"], "left").select("id", "text", "copy", "positions").mapInPandas(
+    marked = texts.join(repeats, ["id", "tie"], "left").join(
+        copies.withColumn("copy", F.lit(True)), ["id", "tie"], "left")
+    cut = marked.select("id", "text", "copy", "positions").mapInPandas(
         _cut(window), "id long, n_words long, n_removed long, kept string")
     return cut.withColumn("id", F.nullif("id", F.lit(_NO_ID)).cast(kind)).withColumnRenamed("id", id_column)
 
