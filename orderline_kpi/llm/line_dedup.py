@@ -34,7 +34,6 @@ _NO_ID = -(1 << 63)
 _TYPES = [np.uint32, np.uint32, np.uint8, np.uint16, np.int64, np.uint32, np.uint32]
 _DELTAS = [False, False, False, False, True, True, True]
 _FIRST_BAND, _SETTLED = 64, 128  # bits beside six of the line hash
-_PLACE = "struct<id:long,tie:long,line:int>"
 
 
 def normal(line: str) -> str:
@@ -155,7 +154,12 @@ def _spread(places: np.ndarray, bucket_bits: int) -> np.ndarray:
     return (np.arange(len(places), dtype=np.uint64) % np.uint64(1 << bucket_bits)) << np.uint64(min(63, 64 - bucket_bits))
 
 
-_MEMBERS = f"line_group long, place {_PLACE}, head {_PLACE}"
+_PARTS = ("id", "tie", "line")
+_MEMBERS = "line_group long, id long, tie long, line int, head_id long, head_tie long, head_line int"
+
+
+def _place(prefix: str = "") -> Column:
+    return F.struct(*[F.col(prefix + part).alias(part) for part in _PARTS])
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
@@ -187,14 +191,12 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     shared = (np.bincount(band, minlength=len(starts)) > 1)[band] if len(line) else np.zeros(0, bool)
     group = (np.int64(rows["bucket"].iloc[0]) << np.int64(32)) | h[line].astype(np.int64)
 
-    def places(at: np.ndarray) -> list[dict]:
-        return [{"id": i, "tie": t, "line": n} for i, t, n in zip(
-            ids[at].tolist(), ties[at].tolist(), numbers[at].tolist(), strict=True)]
-
-    gone = np.concatenate(gone)
+    gone, kept, heads = np.concatenate(gone), line[shared], head[shared]
+    n, at, to = len(gone), np.r_[gone, kept].astype(np.int64), np.r_[gone, heads].astype(np.int64)
     return pd.DataFrame({
-        "line_group": pd.array([None] * len(gone) + group[shared].tolist(), "Int64"),
-        "place": places(gone) + places(line[shared]), "head": [None] * len(gone) + places(head[shared]),
+        "line_group": pd.array([None] * n + group[shared].tolist(), "Int64"),
+        "id": ids[at], "tie": ties[at].astype(np.int64), "line": numbers[at].astype(np.int32),
+        "head_id": ids[to], "head_tie": ties[to].astype(np.int64), "head_line": numbers[to].astype(np.int32),
     })
 
 
@@ -202,74 +204,124 @@ def _shingles(line: str) -> set[str]:
     return {line[k:k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def jaccard(a: str, b: str) -> float:
-    """The similarity of two normal lines."""
-    if a == b:
-        return 1.0
-    left, right = _shingles(a), _shingles(b)
-    shared = len(left & right)
-    return shared / (len(left) + len(right) - shared)
+def jaccard(a: set[str], b: set[str]) -> float:
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared)
 
 
 def _similar(a: Column, b: Column, threshold: float) -> Column:
+    """Whether the lines of a pair are similar; the shingles of a line that comes in many pairs are kept."""
     @F.pandas_udf("boolean")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([
-            min(len(x), len(y)) + SHINGLE >= threshold * max(len(x), len(y)) - SHINGLE and jaccard(x, y) >= threshold
-            for x, y in zip(left, right, strict=True)
-        ], dtype=bool)
+        known: dict[str, set[str]] = {}
+
+        def shingles(line: str) -> set[str]:
+            if line not in known:
+                if len(known) > 2000:
+                    known.clear()
+                known[line] = _shingles(line)
+            return known[line]
+
+        return pd.Series(
+            [x == y or jaccard(_shingles(x), shingles(y)) >= threshold for x, y in zip(left, right, strict=True)], dtype=bool)
 
     return run(a, b)
 
 
 def _line_texts(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """``place`` and ``line``, the normal line there."""
+    """``place`` and ``text``, the normal line there."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for doc, tie, text, numbers in zip(frame["id"], frame["tie"], frame["text"], frame["numbers"], strict=True):
                 lines = text.split("\n")
-                rows += [({"id": doc, "tie": tie, "line": n}, normal(lines[n])) for n in numbers]
-            yield pd.DataFrame(rows, columns=["place", "line"])
+                rows += [(doc, tie, n, normal(lines[n])) for n in numbers]
+            yield pd.DataFrame(rows, columns=[*_PARTS, "text"])
 
     wanted = places.groupBy("place.id", "place.tie").agg(F.collect_set("place.line").alias("numbers"))
     found = texts.join(wanted, ["id", "tie"]).select("id", "tie", "text", "numbers")
-    return found.mapInPandas(run, f"place {_PLACE}, line string").dropDuplicates(["place"])
+    return found.mapInPandas(run, "id long, tie long, line int, text string").select(
+        _place().alias("place"), "text").dropDuplicates(["place"])
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+def _near_heads(tried: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose lines are similar enough."""
-    left = lines.select(F.col("place").alias("a"), F.col("line").alias("left"))
-    right = lines.select(F.col("place").alias("b"), F.col("line").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
+    left = lines.select(F.col("place").alias("a"), F.col("text").alias("left"))
+    right = lines.select(F.col("place").alias("b"), F.col("text").alias("right"))
+    both = tried.join(left, "a").join(right, "b")
     return both.where(_similar(F.col("left"), F.col("right"), threshold)).select("a", "b")
 
 
+def _links_within(threshold: float):
+    """Links between lines of one band whose components are still apart: as many as connect them, no more.
+
+    Shared shingles are tallied over posting lists, from the side of the lines outside the largest component.
+    """
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        codes: dict[str, int] = {}
+        own = [np.array([codes.setdefault(s, len(codes)) for s in _shingles(text)]) for text in rows["text"]]
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        code, member = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
+        order = np.argsort(code, kind="stable")
+        postings = np.split(member[order], np.cumsum(np.bincount(code))[:-1])
+        _, root, members = np.unique(
+            list(zip(*(rows[f"root_{part}"] for part in _PARTS), strict=True)), axis=0, return_inverse=True, return_counts=True)
+        root = root.ravel()
+        links = []
+        for x in np.flatnonzero(root != members.argmax()):
+            shared = np.bincount(np.concatenate([postings[c] for c in own[x]]), minlength=len(own))
+            near = np.flatnonzero((shared / (sizes + sizes[x] - shared) >= threshold) & (root != root[x]))
+            for tree, at in zip(*np.unique(root[near], return_index=True), strict=True):
+                links.append((x, near[at]))
+                root[root == tree] = root[x]
+        at = np.array(links, np.int64).reshape(-1, 2)
+        sides = [rows[list(_PARTS)].iloc[at[:, k]].reset_index(drop=True) for k in (0, 1)]
+        return pd.concat([side.add_prefix(name) for name, side in zip(("a_", "b_"), sides, strict=True)], axis=1)
+
+    return run
+
+
+def _links_in_bands(apart: DataFrame, lines: DataFrame, work: WorkArea, threshold: float, block: int = 2048) -> DataFrame:
+    """Links (a, b) in bands whose members (line_group, place, root) are in several components.
+
+    A band of more than ``block`` lines is dealt into pairs of blocks, which go to different tasks.
+    """
+    blocks = work.table(apart.groupBy("line_group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "sizes")
+    dealt = apart.join(blocks, "line_group").withColumn(
+        "mine", F.pmod(F.xxhash64("place"), F.col("blocks")).cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+        {"row": F.least("mine", "other"), "column": F.greatest("mine", "other")})
+    rows = dealt.join(lines, "place").select(
+        "line_group", "row", "column", "place.*", *[F.col(f"root.{part}").alias(f"root_{part}") for part in _PARTS], "text")
+    found = rows.groupBy("line_group", "row", "column").applyInPandas(
+        _links_within(threshold), ", ".join(f"{side}_id long, {side}_tie long, {side}_line int" for side in "ab"))
+    return found.select(_place("a_").alias("a"), _place("b_").alias("b")).distinct()
+
+
 def removed_lines(texts: DataFrame, work: WorkArea, threshold: float = 0.8) -> DataFrame:
     """``id, tie, gone``: the numbers of the lines that go, of each document (id, tie, text) that loses any."""
     bits = min(14, (int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     met = work.table(
         texts.mapInPandas(_entries(bits), SCHEMA).groupBy("bucket").applyInPandas(_meet, _MEMBERS), "bands")
-    members = met.where("line_group IS NOT NULL")
+    members = met.where("line_group IS NOT NULL").select(
+        "line_group", _place().alias("place"), _place("head_").alias("head"))
     tried = work.table(
         members.where("place <> head").select(F.col("place").alias("a"), F.col("head").alias("b")).distinct(), "tried")
     lines = work.table(_line_texts(
         texts, tried.select(F.col("a").alias("place")).union(tried.select("b")).distinct()), "lines")
-    links = work.table(_verified(tried, lines, threshold), "links")
+    links = work.table(_near_heads(tried, lines, threshold), "links")
     roots = connected_components(links, work)
-    rooted = members.select("line_group", "place").join(roots.withColumnRenamed("node", "place"), "place", "left").select(
+    rooted = members.join(roots.withColumnRenamed("node", "place"), "place", "left").select(
         "line_group", "place", F.coalesce("root", "place").alias("root"))
-    apart = rooted.groupBy("line_group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    # Bands of a head and one other line have been settled above.
-    rooted = work.table(rooted.join(apart.select("line_group"), "line_group", "left_semi"), "apart")
-    left = rooted.select("line_group", F.col("place").alias("a"), F.col("root").alias("root_a"))
-    right = rooted.select("line_group", F.col("place").alias("b"), F.col("root").alias("root_b"))
-    rest = left.join(right, "line_group").where("root_a < root_b").select("a", "b").distinct()
-    known = tried.union(tried.select("b", "a"))
-    more = work.table(_verified(rest.join(known, ["a", "b"], "left_anti"), lines, threshold), "more_links")
+    # A band of a head and one other line has been settled above.
+    apart = rooted.groupBy("line_group").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    ).where("low <> high AND n > 2").select("line_group")
+    apart = work.table(rooted.join(apart, "line_group", "left_semi"), "apart")
+    more = work.table(_links_in_bands(apart, lines, work, threshold), "more_links")
     if not more.isEmpty():
         roots = connected_components(links.union(more), work)
-    gone = met.where("line_group IS NULL").select("place").union(
+    gone = met.where("line_group IS NULL").select(_place().alias("place")).union(
         roots.where("node <> root").select(F.col("node").alias("place")))
     return work.table(
         gone.groupBy("place.id", "place.tie").agg(F.sort_array(F.collect_set("place.line")).alias("gone")), "gone")
