@@ -1,25 +1,63 @@
-"""The corpus pipeline: documents through quality rules and on, one stage at a time."""
+"""The corpus pipeline: documents through cleaning, deduplication and decontamination to token ids."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import quality_rules
+from orderline_kpi.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A document goes if more than this share of its words stand in passages of the benchmark.
+MAX_CONTAMINATED = 0.0
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.apply_rules(docs).where("kept").select(*docs.columns)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier document or line has too, or nearly.
+
+    ``n_chars`` follows the text.  A document that has nothing left stays, with an empty text.
+    """
+    left = line_dedup.remove_lines(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(
+            F.size("gone") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
+    return left.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no passage of the benchmark occurs."""
+    found = decontaminate.Decontaminator(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.clean_documents(docs, MAX_CONTAMINATED)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each document the id, the token ids of its text, and their number."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode(docs, path, ["doc_id"]).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("bpe_encoding", tokens),
 ]
 
 #: Fuzzy lines, fingerprints and token ids are beyond SQL; tests hold the rows against brute force.

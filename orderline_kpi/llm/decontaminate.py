@@ -84,10 +84,8 @@ class Decontaminator:
     ) -> None:
         self._work = work = WorkArea(docs.sparkSession, "decontamination")
         self.radius = window - 1 + slop
-        self._texts = docs.select(
-            F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("text_hash"),
-            F.col(text_column).alias("text"),
-        )
+        self._key = F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("text_hash")
+        self._texts = docs.select(*self._key, F.col(text_column).alias("text"))
         words = self._texts.select("id", "text_hash", terms(F.col("text")).alias("words"))
         windows = work.table(
             item_windows(items, window, item_id_column, item_text_column)
@@ -163,3 +161,12 @@ class Decontaminator:
             "d.id", "d.text_hash", "n_words", F.coalesce(hit, F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans",
         )
+
+    def clean_documents(self, docs: DataFrame, max_share: float = 0.0) -> DataFrame:
+        """The rows of ``docs``, those the index was built from, of whose words at most ``max_share`` are hit."""
+        hit = self.documents().where(F.col("n_hit") > max_share * F.col("n_words")).select(
+            F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+        rows = docs.withColumns({"__row_id": self._key[0], "__row_hash": self._key[1]})
+        return rows.join(
+            hit, F.col("__row_id").eqNullSafe(F.col("__id")) & (F.col("__row_hash") == F.col("__hash")), "left_anti"
+        ).select(*docs.columns)

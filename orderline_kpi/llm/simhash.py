@@ -163,10 +163,10 @@ def near_duplicates(
     docs: DataFrame, columns: list[str], id_column: str = "doc_id", text_column: str = "text",
     max_bits: int = 3, shingle: int = 3, block: int = 2048,
 ) -> DataFrame:
-    """``columns`` of each row of ``docs``, its ``fingerprint`` and its ``component_id``.
+    """``columns`` of each row of ``docs``, its ``fingerprint``, ``component_id`` and ``root``.
 
     Rows are linked if their fingerprints differ in at most ``max_bits`` bits; ``component_id`` is the
-    smallest id that links reach, null if there is no other.  Null and empty texts have the
+    smallest id that links reach, null if there is no other; ``root`` is the component's smallest fingerprint.  Null and empty texts have the
     fingerprint 0 and are linked like any others.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -182,6 +182,28 @@ def near_duplicates(
     rooted = work.table(rooted, "rooted")
     named = work.table(rooted.join(
         rooted.groupBy("root").agg(F.min("id").alias("component_id")), "root"
-    ).select("fingerprint", "component_id"), "components")
+    ).select("fingerprint", "component_id", "root"), "components")
     return rows.join(named, "fingerprint").select(
-        *[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "fingerprint", "component_id")
+        *[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "fingerprint", "component_id", "root")
+
+
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", max_bits: int = 3, shingle: int = 3,
+) -> DataFrame:
+    """The row of each component of near-duplicates that has the smallest id, with all its columns.
+
+    Null ids come first; among rows with one id the text's hash decides; of rows equal in id and
+    text any one stays.
+    """
+    text = filled(F.col(text_column))
+    key = {
+        "__key": F.xxhash64(F.col(id_column).isNull(), F.col(id_column), text),
+        "__key2": F.xxhash64(text, F.lit(1), F.col(id_column)),
+    }
+    keyed = docs.withColumns(key)
+    marked = near_duplicates(
+        keyed.select(F.col(id_column).alias("id"), *key, text.alias("text")), ["id", *key], "id", "text", max_bits, shingle)
+    # The smallest row of a component, by partial minima; a component is named by its fingerprints' root.
+    stays = marked.groupBy("root").agg(F.min(F.struct("id", *key)).alias("row")).select("row.__key", "row.__key2")
+    stays = WorkArea(docs.sparkSession, "simhash").table(stays, "stays")
+    return keyed.join(stays, list(key), "left_semi").dropDuplicates(list(key)).select(*docs.columns)
