@@ -16,8 +16,8 @@ def pack(bucket: np.ndarray, columns: list[np.ndarray], deltas: list[bool]) -> p
     """One row for each bucket with the entries that go there, in their order."""
     order = np.argsort(bucket, kind="stable")
     sorted_bucket, columns = bucket[order], [column[order] for column in columns]
-    begins = np.flatnonzero(np.r_[len(order) > 0, sorted_bucket[1:] != sorted_bucket[:-1]])
-    ends = np.r_[begins[1:], len(order)]
+    changes = np.flatnonzero(sorted_bucket[1:] != sorted_bucket[:-1]) + 1
+    begins, ends = (np.r_[0, changes], np.r_[changes, len(order)]) if len(order) else (changes, changes)
     rows = []
     for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
         parts = []

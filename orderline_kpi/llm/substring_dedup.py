@@ -111,7 +111,7 @@ class _Round:
             begins = np.flatnonzero(np.r_[len(ids) > 0, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])])
             return pd.DataFrame({
                 "id": ids[begins], "tie": ties[begins].astype(np.int64),
-                "positions": np.split(at.astype(np.int32), begins[1:]) if len(begins) else [],
+                "positions": pd.Series(np.split(at.astype(np.int32), begins[1:]) if len(begins) else [], dtype=object),
             })
 
         return run
