@@ -26,7 +26,6 @@ def connected_components(links: DataFrame, work: WorkArea) -> DataFrame:
         both = stars.union(stars.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = work.table(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = work.table(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")

@@ -15,13 +15,14 @@ many pairs as it has members.  Only pairs of members that are still apart are co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderline_kpi.llm.common import filled
+from orderline_kpi.llm.common import filled, groups_of
 from orderline_kpi.llm.components import connected_components
 from orderline_kpi.llm.packing import SCHEMA, pack, unpack
 from orderline_kpi.sources.scratch import WorkArea
@@ -252,31 +253,44 @@ def _near_heads(tried: DataFrame, lines: DataFrame, threshold: float) -> DataFra
     return both.where(_similar(F.col("left"), F.col("right"), threshold)).select("a", "b")
 
 
-def _links_within(threshold: float):
-    """Links between lines of one band whose components are still apart: as many as connect them, no more.
+def _forest(texts: list[str], root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links between lines of one band whose components (``root``) are still apart: as many as connect them, no more.
 
     Shared shingles are tallied over posting lists, from the side of the lines outside the largest component.
     """
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        codes: dict[str, int] = {}
-        own = [np.array([codes.setdefault(s, len(codes)) for s in _shingles(text)]) for text in rows["text"]]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        code, member = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
-        order = np.argsort(code, kind="stable")
-        postings = np.split(member[order], np.cumsum(np.bincount(code))[:-1])
-        _, root, members = np.unique(
-            list(zip(*(rows[f"root_{part}"] for part in _PARTS), strict=True)), axis=0, return_inverse=True, return_counts=True)
-        root = root.ravel()
-        links = []
-        for x in np.flatnonzero(root != members.argmax()):
-            shared = np.bincount(np.concatenate([postings[c] for c in own[x]]), minlength=len(own))
-            near = np.flatnonzero((shared / (sizes + sizes[x] - shared) >= threshold) & (root != root[x]))
-            for tree, at in zip(*np.unique(root[near], return_index=True), strict=True):
-                links.append((x, near[at]))
-                root[root == tree] = root[x]
-        at = np.array(links, np.int64).reshape(-1, 2)
-        sides = [rows[list(_PARTS)].iloc[at[:, k]].reset_index(drop=True) for k in (0, 1)]
-        return pd.concat([side.add_prefix(name) for name, side in zip(("a_", "b_"), sides, strict=True)], axis=1)
+    codes: dict[str, int] = {}
+    own = [[codes.setdefault(shingle, len(codes)) for shingle in _shingles(text)] for text in texts]
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    code = np.fromiter(chain.from_iterable(own), np.int64, sizes.sum())
+    members = np.repeat(np.arange(len(own)), sizes)[np.argsort(code, kind="stable")]
+    ends = np.cumsum(np.bincount(code)).tolist()
+    postings = [members[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    links, root = [], root.copy()
+    for x in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
+        shared = np.bincount(np.concatenate([postings[code] for code in own[x]]), minlength=len(own))
+        near = np.flatnonzero((shared / (sizes + sizes[x] - shared) >= threshold) & (root != root[x]))
+        for tree, at in zip(*np.unique(root[near], return_index=True), strict=True):
+            links.append((x, int(near[at])))
+            root[root == tree] = root[x]
+    return links
+
+
+def _links_within(threshold: float):
+    """The links of all bands of a partition that is sorted by band."""
+    parts = [f"{side}_{part}" for side in "ab" for part in _PARTS]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part, begins, ends in groups_of(batches, ["line_group", "row", "column"]):
+            places = part[list(_PARTS)].to_numpy()
+            texts, roots = part["text"].tolist(), list(zip(*(part[f"root_{name}"] for name in _PARTS), strict=True))
+            links = []
+            for a, b in zip(begins, ends, strict=True):
+                codes: dict[tuple, int] = {}
+                root = np.array([codes.setdefault(r, len(codes)) for r in roots[a:b]])
+                if len(codes) > 1:
+                    links += [(a + x, a + y) for x, y in _forest(texts[a:b], root, threshold)]
+            at = np.array(links, np.int64).reshape(-1, 2)
+            yield pd.DataFrame(np.hstack([places[at[:, 0]], places[at[:, 1]]]), columns=parts)
 
     return run
 
@@ -286,14 +300,20 @@ def _links_in_bands(apart: DataFrame, lines: DataFrame, work: WorkArea, threshol
 
     A band of more than ``block`` lines is dealt into pairs of blocks, which go to different tasks.
     """
-    blocks = work.table(apart.groupBy("line_group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "sizes")
-    dealt = apart.join(blocks, "line_group").withColumn(
+    # Bands with the same members, of which there are many, are one.
+    bands = apart.groupBy("line_group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("place").cast("decimal(38,0)")).alias("sum"),
+        F.sum(F.xxhash64(F.lit(1), "place").cast("decimal(38,0)")).alias("sum2"))
+    bands = bands.groupBy("n", "sum", "sum2").agg(F.min("line_group").alias("line_group"))
+    bands = work.table(bands.select("line_group", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "sizes")
+    dealt = apart.join(bands, "line_group").withColumn(
         "mine", F.pmod(F.xxhash64("place"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"row": F.least("mine", "other"), "column": F.greatest("mine", "other")})
     rows = dealt.join(lines, "place").select(
         "line_group", "row", "column", "place.*", *[F.col(f"root.{part}").alias(f"root_{part}") for part in _PARTS], "text")
-    found = rows.groupBy("line_group", "row", "column").applyInPandas(
+    band = ["line_group", "row", "column"]
+    found = rows.repartition(*band).sortWithinPartitions(*band).mapInPandas(
         _links_within(threshold), ", ".join(f"{side}_id long, {side}_tie long, {side}_line int" for side in "ab"))
     return found.select(_place("a_").alias("a"), _place("b_").alias("b")).distinct()
 
@@ -320,7 +340,8 @@ def removed_lines(texts: DataFrame, work: WorkArea, threshold: float = 0.8) -> D
     apart = work.table(rooted.join(apart, "line_group", "left_semi"), "apart")
     more = work.table(_links_in_bands(apart, lines, work, threshold), "more_links")
     if not more.isEmpty():
-        roots = connected_components(links.union(more), work)
+        stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = connected_components(stars.union(more), work)
     gone = met.where("line_group IS NULL").select(_place().alias("place")).union(
         roots.where("node <> root").select(F.col("node").alias("place")))
     return work.table(

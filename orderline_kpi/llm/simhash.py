@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderline_kpi.llm.common import filled
+from orderline_kpi.llm.common import filled, groups_of
 from orderline_kpi.llm.components import connected_components
 from orderline_kpi.sources.scratch import WorkArea
 
@@ -107,41 +107,16 @@ def _forest(prints: np.ndarray, max_bits: int) -> list[tuple[np.uint64, np.uint6
 
 def _search(max_bits: int):
     """Links within the lists of a partition that is sorted by list."""
-    names = ["key", "value", "row", "column"]
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carried = None
-        for batch in _with_end(batches):
-            part = batch if carried is None else pd.concat([carried, batch], ignore_index=True)
-            if not len(part):
-                continue
-            lists = part[names].to_numpy()
-            begins = np.flatnonzero(np.r_[True, (lists[1:] != lists[:-1]).any(1)])
-            # The last list may go on in the next batch; a list has few blocks' worth of rows at most.
-            done = len(part) if not len(batch) else begins[-1]
-            carried = part.iloc[done:]
-            ends = np.r_[begins[1:], len(part)]
+        for part, begins, ends in groups_of(batches, ["key", "value", "row", "column"]):
             prints = part["fingerprint"].to_numpy().view(np.uint64)
-            links = [
-                link for a, b in zip(begins.tolist(), ends.tolist(), strict=True)
-                if b <= done and b - a > 1 for link in _forest(prints[a:b], max_bits)
-            ]
-            found = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
+            found = [link for a, b in zip(begins, ends, strict=True) if b - a > 1 for link in _forest(prints[a:b], max_bits)]
+            found = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     return run
 
 
-def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The batches and an empty one that says that there are no more."""
-    last = None
-    for last in batches:
-        if len(last):
-            yield last
-    if last is not None:
-        yield last.iloc[:0]
-
-
 def links(prints: DataFrame, work: WorkArea, max_bits: int = 3, block: int = 2048) -> DataFrame:
     """Links (a, b) between distinct fingerprints, a spanning forest of each list's."""
     if not 0 <= max_bits <= 3:
