@@ -43,12 +43,11 @@ def clean(raw: DataFrame) -> DataFrame:
     return raw.select(list(columns.values()))
 
 
-def preview(lines: DataFrame, n: int = 5) -> DataFrame:
-    """A few cleaned lines; sorted, so that the same ones show every time."""
+def preview(lines: DataFrame, n: int = 5, ordered: bool = False) -> DataFrame:
+    """A few cleaned lines: any, or, after a look at all of them, always the same first ones."""
     columns = ["order_dt", "sales", "profit", "late"]
     require_columns(lines, columns, "preview")
-    return (
-        lines.select(columns)
-        .orderBy(*[F.asc_nulls_first(column) for column in columns])
-        .limit(n)
-    )
+    shown = lines.select(columns)
+    if ordered:
+        shown = shown.orderBy(*[F.asc_nulls_first(column) for column in columns])
+    return shown.limit(n)

@@ -58,6 +58,9 @@ def correlation_matrix(
 ) -> DataFrame:
     """One row ``(col_a, col_b, r)`` per cell of the matrix.
 
+    Meant for a handful of columns: lines are pooled by which of them are missing, so many sparse
+    columns make up to 2**n groups, each with the moments of all pairs.
+
     Uses those of ``columns`` that the table has, at least two.  Each pair counts the
     rows where both values are present; NaN counts as missing.  ``r`` is null if either
     column is constant on those rows (``corr`` would fail there under ANSI arithmetic).

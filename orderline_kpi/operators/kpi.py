@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -83,33 +84,29 @@ def _aggregate(lines: DataFrame, spec: Kpi, names: Iterable[str]) -> DataFrame:
     )
 
 
-def kpi(
-    lines: DataFrame, spec: Kpi, distinct_from: Mapping[str, DataFrame] | None = None
-) -> DataFrame:
-    """The KPI table of ``spec`` over these order lines.
+def kpi(lines: DataFrame, spec: Kpi, separate_distinct: bool = False) -> DataFrame:
+    """The KPI table of ``spec`` over these order lines, in one pass.
 
     Lines are combined before the shuffle, so what moves is one row per task and group,
-    however many lines a group holds.  An exact distinct count has to move every value
-    it counts; it gets an aggregation of its own, so that only keys and values move and
-    not the other measures with each of them.  That reads ``lines`` once more, just those
-    columns: cheap on a stored table, so store expensive ``lines`` first.
-    ``distinct_from`` may give, per counted column, a cheaper table to read them from.
+    however many lines a group holds; with an exact distinct count it is one for each value counted.
+
+    ``separate_distinct=True`` gives every counted column an aggregation of its own over just the
+    keys and that column, so that the other measures do not travel with each value and two counts
+    do not multiply the rows.  That reads ``lines`` once more per count: for stored tables, not for plans
+    that join or parse.
     """
-    require_columns(lines, spec.plain_inputs, spec.name)
     plain = [name for name, measure in spec.measures.items() if not measure.is_distinct]
-    tables = [_aggregate(lines, spec, plain)] if plain else []
-    for column, names in spec.distinct_measures.items():
-        source = (distinct_from or {}).get(column, lines)
-        require_columns(source, [*spec.key_columns, column], spec.name)
-        tables.append(_aggregate(source, spec, names))
-    table = tables[0]
-    if len(tables) > 1:
+    require_columns(lines, [*spec.plain_inputs, *spec.distinct_measures], spec.name)
+    if separate_distinct and spec.distinct_measures:
+        groups = ([plain] if plain else []) + list(spec.distinct_measures.values())
         # Each group has one row in every table; a null in the others fills up.
-        for other in tables[1:]:
-            table = table.unionByName(other, allowMissingColumns=True)
+        table = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True), [_aggregate(lines, spec, names) for names in groups])
         table = table.groupBy(*[key.name for key in spec.keys]).agg(
             *[F.max(name).alias(name) for name in spec.measures]
         )
+    else:
+        table = _aggregate(lines, spec, spec.measures)
     shown = {name: column() for name, column in spec.derived.items()}
     shown |= {key.name: key.label(F.col(key.name)) for key in spec.keys if key.label}
     if shown:

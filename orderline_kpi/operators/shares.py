@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderline_kpi.functions.columns import percent_of
 
@@ -10,10 +10,9 @@ from orderline_kpi.functions.columns import percent_of
 def shares(table: DataFrame, key: str, value: str, name: str = "share_pct") -> DataFrame:
     """Each group's part of the grand total in percent, to one decimal.
 
-    ``table`` is a finished KPI table with one row per region or status; the window
-    over all of it sees those few rows, never order lines.
+    The total is a scalar subquery, so no task has to hold the table.
     """
-    whole = F.sum(value).over(Window.partitionBy())
+    whole = table.agg(F.sum(value)).scalar()
     return table.select(
         key, value, F.round(percent_of(F.col(value), whole), 1).alias(name)
     )

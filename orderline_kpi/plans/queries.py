@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderline_kpi.operators import late_risk
 from orderline_kpi.operators.cleaning import clean, preview
@@ -39,13 +38,11 @@ def _kpi_query(name: str) -> Query:
     def query(spark: SparkSession, tables_dir: str) -> DataFrame:
         if name in _ON_EVENTS:
             return kpi(event_lines(spark, tables_dir), spec)
-        return kpi(
-            order_lines(spark, tables_dir, spec.plain_inputs), spec,
-            {
-                column: order_lines(spark, tables_dir, [*spec.key_columns, column])
-                for column in spec.distinct_measures
-            },
-        )
+        lines = order_lines(spark, tables_dir, [*spec.plain_inputs, *spec.distinct_measures])
+        if len(spec.distinct_measures) > 1:
+            # In one pass several exact counts multiply the rows; over a stored table each is a narrow scan.
+            return kpi(materialize(lines, name), spec, separate_distinct=True)
+        return kpi(lines, spec)
 
     return query
 
@@ -62,7 +59,9 @@ def _staged_csv(spark: SparkSession, tables_dir: str) -> str:
 
 
 def _ingest_csv_clean(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return clean(read_raw(spark, _staged_csv(spark, tables_dir))).select(*CLEAN_COLUMNS)
+    # Ids come out of a CSV as text; those of these tables are numbers.
+    return clean(read_raw(spark, _staged_csv(spark, tables_dir))).withColumns(
+        {name: F.col(name).cast("bigint") for name in ("order_id", "customer_id")}).select(*CLEAN_COLUMNS)
 
 
 def _ingest_profile(spark: SparkSession, tables_dir: str) -> DataFrame:
@@ -83,7 +82,9 @@ def _curated_roundtrip(spark: SparkSession, tables_dir: str) -> DataFrame:
 
 
 def _clean_preview(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return preview(order_lines(spark, tables_dir, ["order_dt", "sales", "profit", "late"])).select(
+    return preview(
+        order_lines(spark, tables_dir, ["order_dt", "sales", "profit", "late"]), ordered=True
+    ).select(
         "order_dt", F.col("sales").cast("double").alias("sales"),
         F.col("profit").cast("double").alias("profit"), "late",
     )
@@ -104,30 +105,35 @@ def _ml_split_counts(spark: SparkSession, tables_dir: str) -> DataFrame:
     return late_risk.split_counts(late_risk.with_split(_ml_dataset(spark, tables_dir)))
 
 
-def _stored_ml_dataset(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return materialize(_ml_dataset(spark, tables_dir), "ml_dataset")
-
-
 def _ml_category_index(spark: SparkSession, tables_dir: str) -> DataFrame:
-    dataset = _stored_ml_dataset(spark, tables_dir)
-    return late_risk.category_index(late_risk.fit_features(dataset), dataset)
+    categories = _ml_dataset(spark, tables_dir).select(*late_risk.CATEGORICAL_FEATURES)
+    return late_risk.category_index(late_risk.fit_features(categories), categories)
 
 
 def _ml_features(spark: SparkSession, tables_dir: str) -> DataFrame:
     """The feature vectors, spelt out: numbers, set positions and length."""
-    dataset = _stored_ml_dataset(spark, tables_dir)
-    vectors = late_risk.fit_features(dataset).transform(dataset).select(
-        "order_id", "label", vector_to_array("features").alias("x")
-    )
+    dataset = _ml_dataset(spark, tables_dir)
+    features = late_risk.fit_features(dataset.select(*late_risk.CATEGORICAL_FEATURES))
+    vectors = features.transform(dataset).select(
+        "order_id", "label", F.unwrap_udt("features").alias("v")
+    ).select("order_id", "label", "v.size", "v.indices", "v.values")
     n = len(late_risk.NUMERIC_FEATURES)
-    ones = F.expr(
-        f"filter(sequence({n}, size(x) - 1), position -> x[position] = 1)"
-    )
+    # A vector is stored densely, without indices, only where that takes no more room.
+    is_dense = F.col("indices").isNull()
+    positions = F.when(is_dense, F.filter(
+        F.transform("values", lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())).otherwise(F.col("indices"))
+
+    def number(at: int) -> Column:
+        stored = F.get("values", F.array_position("indices", at).cast("int") - 1)
+        return F.when(is_dense, F.get("values", F.lit(at))).otherwise(F.coalesce(
+            F.when(F.array_contains("indices", at), stored), F.lit(0.0)))
+
     return vectors.select(
         "order_id", "label",
-        *[F.col("x")[i].alias(name) for i, name in enumerate(late_risk.NUMERIC_FEATURES)],
-        F.concat_ws(",", F.transform(ones, lambda p: p.cast("string"))).alias("set_positions"),
-        F.size("x").alias("width"),
+        *[number(at).alias(name) for at, name in enumerate(late_risk.NUMERIC_FEATURES)],
+        F.concat_ws(",", F.transform(
+            F.filter(positions, lambda p: p >= n), lambda p: p.cast("string"))).alias("set_positions"),
+        F.coalesce("size", F.size("values")).alias("width"),
     )
 
 
@@ -136,14 +142,18 @@ def _trained(spark: SparkSession, tables_dir: str) -> late_risk.LateRisk:
 
 
 def _ml_predictions(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return _trained(spark, tables_dir).predictions()
+    """Of all lines on the test side: how many have each label, and what share is predicted right."""
+    right = (F.col("prediction") == F.col("label")).cast("double")
+    return _trained(spark, tables_dir).predictions().groupBy("label").agg(
+        F.count(F.lit(1)).alias("row_count"), F.round(F.avg(right), 2).alias("share_right"))
 
 
 def _ml_auc(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return _trained(spark, tables_dir).auc()
+    return _trained(spark, tables_dir).auc().withColumn("value", F.round("value", 3))
 
 
 def _configured(query: Query) -> Query:
+    """The query on a session with the settings; these are the only callers that do not set them themselves."""
     return lambda spark, tables_dir: query(configure(spark), tables_dir)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from orderline_kpi.operators.correlation import correlation_matrix
 from orderline_kpi.operators.kpi import Order, kpi
+from orderline_kpi.operators.late_risk import LateRisk
 from orderline_kpi.operators.ranking import ranked, with_label
 from orderline_kpi.operators.shares import bubble_feed, shares, shipping_days_series
 from orderline_kpi.plans.catalog import KPIS
@@ -16,7 +17,8 @@ from orderline_kpi.schema import MissingColumnsError
 
 
 def _base(name: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda lines: kpi(lines, KPIS[name])
+    # The lines of a batch are stored, so a second narrow scan is cheaper than wider shuffles.
+    return lambda lines: kpi(lines, KPIS[name], separate_distinct=True)
 
 
 # Analyses of order lines.
@@ -77,10 +79,11 @@ DERIVED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 
 @dataclass
 class Reports:
-    """Result tables by name, and the analyses left out with the reason."""
+    """Result tables by name, the analyses left out with the reason, and the fitted model if there is one."""
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
+    model: LateRisk | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]

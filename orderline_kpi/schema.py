@@ -2,7 +2,7 @@
 
 One row is one order line.  ``RAW_COLUMNS`` describes the CSV headers the library
 knows and the snake_case name each gets after cleaning; every other CSV column is
-carried along under its own name.
+carried along under its own name.  Ids are text: whatever the file has as an id stays one.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ RAW_COLUMNS = (
     RawColumn("Late_delivery_risk", "late", T.DoubleType()),
     RawColumn("Days for shipping (real)", "ship_real", T.DoubleType()),
     RawColumn("Days for shipment (scheduled)", "ship_sched", T.DoubleType()),
-    RawColumn("Order Id", "order_id", T.LongType()),
-    RawColumn("Customer Id", "customer_id", T.LongType()),
+    RawColumn("Order Id", "order_id", T.StringType()),
+    RawColumn("Customer Id", "customer_id", T.StringType()),
     RawColumn("Category Name", "category", T.StringType()),
     RawColumn("Shipping Mode", "ship_mode", T.StringType()),
     RawColumn("Order Region", "region", T.StringType()),

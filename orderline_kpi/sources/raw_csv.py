@@ -22,11 +22,11 @@ def read_raw(spark: SparkSession, path: str, infer_schema: bool = False) -> Data
     return reader.schema(raw_schema(headers)).csv(path, enforceSchema=False)
 
 
-def profile(raw: DataFrame) -> DataFrame:
-    """One row: number of rows and of columns."""
+def profile(raw: DataFrame, n_columns: int | None = None) -> DataFrame:
+    """One row: number of rows and of columns, or ``n_columns`` where ``raw`` is a stored form of the file."""
     return raw.agg(
         F.count("*").alias("row_count"),
-        F.lit(len(raw.columns)).alias("column_count"),
+        F.lit(n_columns or len(raw.columns)).alias("column_count"),
     )
 
 

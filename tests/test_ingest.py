@@ -49,7 +49,7 @@ def test_a_line_is_decoded_and_typed(spark, tmp_path):
     assert row.order_dt == datetime.datetime(2018, 1, 31, 22, 56)
     assert row.ship_dt == datetime.datetime(2018, 2, 3, 2, 6)
     assert (row.sales, row.profit, row.late, row.ship_real) == (100.5, -7.25, 1.0, 3.0)
-    assert dict(lines.dtypes)["order_id"] == "bigint"
+    assert dict(lines.dtypes)["order_id"] == "string"
     assert dict(lines.dtypes)["order_dt"] == "timestamp"
 
 
@@ -82,7 +82,7 @@ def test_headers_match_in_any_case_order_and_with_extra_columns(spark, tmp_path)
         .encode("ISO-8859-1")
     )
     row = clean(read_raw(spark, str(path))).first()
-    assert (row.Market, row.sales, row.order_id, row.region) == ("EU", 100.5, 1, "West")
+    assert (row.Market, row.sales, row.order_id, row.region) == ("EU", 100.5, "1", "West")
 
 
 def test_name_clash_is_an_error(spark):
@@ -113,7 +113,7 @@ def test_profile_and_schema(spark, tmp_path):
 
 def test_preview_is_five_lines(spark, tmp_path):
     path = csv(tmp_path / "raw.csv", *[{"Sales": str(n)} for n in (7, 3, 5, 1, 9, 2)])
-    rows = preview(clean(read_raw(spark, path))).collect()
+    rows = preview(clean(read_raw(spark, path)), ordered=True).collect()
     assert [row.sales for row in rows] == [1.0, 2.0, 3.0, 5.0, 7.0]
 
 

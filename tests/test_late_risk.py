@@ -1,5 +1,7 @@
 """The late-delivery model: data set, features, split, fit and score."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,12 +46,36 @@ def test_index_goes_by_count_then_name_and_unseen_values_are_all_zero(spark):
     assert vector == [1.0, 2.0, 5.0, 0.0, 0.0, 0.0, 1.0, 1.0]
 
 
-def test_a_column_of_too_many_values_is_refused(spark):
-    dataset = late_risk_dataset(frame(
-        spark, *[(1, 1.0, 3.0, 2.0, 9.5, f"mode {i}", "x", "r") for i in range(50)]
-    ))
-    with pytest.raises(ValueError, match="ship_mode"):
-        fit_features(dataset, max_categories=20)
+def test_a_column_of_very_many_values_is_indexed(spark):
+    modes = spark.range(10_600).selectExpr(
+        "1 AS order_id", "1.0D AS late", "3.0D AS ship_real", "2.0D AS ship_sched", "9.5D AS sales",
+        "concat('mode ', id) AS ship_mode", "'x' AS category", "'r' AS region")
+    features = fit_features(late_risk_dataset(modes))
+    assert len(features.stages[0].labelsArray[0]) == 10_600
+
+
+def test_lines_without_an_order_id_fall_on_both_sides(spark):
+    rows = [(None, float(k % 2), 3.0, 2.0, float(k), "a", "x", "r") for k in range(400)]
+    lines = frame(spark, *rows)
+    for table in (lines, lines.drop("order_id")):
+        counts = {r.split: r.row_count for r in split_counts(with_split(late_risk_dataset(table))).collect()}
+        assert 280 < counts["train"] < 360 and sum(counts.values()) == 400
+
+
+def test_a_model_on_shuffled_labels_is_no_good(spark, tables_dir):
+    lines = order_lines(spark, tables_dir, LATE_RISK_INPUTS)
+    shuffled = lines.withColumn("late", F.pmod(F.xxhash64("order_id", "sales"), F.lit(2)).cast("double"))
+    with train_late_risk(shuffled) as trained:
+        assert trained.auc().first().value < 0.6
+
+
+def test_nothing_is_left_of_the_stored_data(spark, tables_dir):
+    lines = order_lines(spark, tables_dir, LATE_RISK_INPUTS)
+    with train_late_risk(lines) as trained:
+        folder = trained.work.path.removeprefix("file:")
+        assert os.path.isdir(folder)
+        assert trained.predictions().count() > 0
+    assert not os.path.exists(folder)
 
 
 def test_split_depends_on_the_order_alone(spark, tables_dir):

@@ -29,7 +29,7 @@ def skewed_dir(spark, tables_dir, tmp_path_factory):
     ("category_contribution", {"l_partkey"}),
     ("product_performance", {"l_partkey"}),
     ("regional_performance", {"l_partkey", "l_orderkey"}),
-    ("summary_statistics", {"l_partkey", "l_orderkey"}),
+    ("summary_statistics", set()),  # its joins ran when its lines were stored
 ])
 def test_hot_keys_are_split_and_results_are_whole(name, split_keys, spark, skewed_dir, setting):
     configure(spark)
