@@ -32,6 +32,7 @@ BANDS, ROWS = 14, 5  # finds a pair of similarity 0.8 with a probability of 0.99
 _BATCH_CHARS = 4 << 20
 _CHUNK = 1 << 15
 _NO_ID = -(1 << 63)
+_SMALL_BAND = 16
 _TYPES = [np.uint32, np.uint32, np.uint8, np.uint16, np.int64, np.uint32, np.uint32]
 _DELTAS = [False, False, False, False, True, True, True]
 _FIRST_BAND, _SETTLED = 64, 128  # bits beside six of the line hash
@@ -103,8 +104,8 @@ def _entries(bucket_bits: int):
             if (doc, tie) == done:
                 continue
             done = doc, tie
-            for number, line in enumerate(text.split("\n")):
-                line = normal(line)
+            for number, line in enumerate(text.lower().split("\n")):
+                line = " ".join(line.split())
                 if not line:
                     continue
                 at = seen.setdefault(line, len(seen))
@@ -253,11 +254,26 @@ def _near_heads(tried: DataFrame, lines: DataFrame, threshold: float) -> DataFra
     return both.where(_similar(F.col("left"), F.col("right"), threshold)).select("a", "b")
 
 
+def _small_forest(sets: list[set[str]], root: list[int], threshold: float) -> list[tuple[int, int]]:
+    links = []
+    largest = max(root, key=root.count)
+    for x in [x for x, tree in enumerate(root) if tree != largest]:
+        for y in range(len(sets)):
+            if root[y] != root[x] and jaccard(sets[x], sets[y]) >= threshold:
+                links.append((x, y))
+                joined = root[y]
+                root = [root[x] if tree == joined else tree for tree in root]
+    return links
+
+
 def _forest(texts: list[str], root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Links between lines of one band whose components (``root``) are still apart: as many as connect them, no more.
 
-    Shared shingles are tallied over posting lists, from the side of the lines outside the largest component.
+    Lines outside the largest component are compared with those of all others: set by set in a small band, else by
+    a tally of shared shingles over posting lists.
     """
+    if len(texts) <= _SMALL_BAND:
+        return _small_forest([_shingles(text) for text in texts], root.tolist(), threshold)
     codes: dict[str, int] = {}
     own = [[codes.setdefault(shingle, len(codes)) for shingle in _shingles(text)] for text in texts]
     sizes = np.fromiter(map(len, own), np.int64, len(own))
@@ -334,14 +350,20 @@ def removed_lines(texts: DataFrame, work: WorkArea, threshold: float = 0.8) -> D
     rooted = members.join(roots.withColumnRenamed("node", "place"), "place", "left").select(
         "line_group", "place", F.coalesce("root", "place").alias("root"))
     # A band of a head and one other line has been settled above.
+    trees = F.xxhash64("root")
     apart = rooted.groupBy("line_group").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min(trees).alias("low"), F.max(trees).alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low <> high AND n > 2").select("line_group")
     apart = work.table(rooted.join(apart, "line_group", "left_semi"), "apart")
     more = work.table(_links_in_bands(apart, lines, work, threshold), "more_links")
-    if not more.isEmpty():
-        stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = connected_components(stars.union(more), work)
+    # Later links join components as wholes, so only the roots they touch are searched again.
+    whole = lambda side: F.coalesce(f"{side}_root", side).alias(side)
+    for side in "ab":
+        more = more.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    joined = connected_components(more.select(whole("a"), whole("b")), work).select(
+        F.col("node").alias("root"), F.col("root").alias("new"))
+    alone = joined.join(roots, "root", "left_anti").select(F.col("root").alias("node"), F.col("new").alias("root"))
+    roots = roots.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root")).union(alone)
     gone = met.where("line_group IS NULL").select(_place().alias("place")).union(
         roots.where("node <> root").select(F.col("node").alias("place")))
     return work.table(
