@@ -121,7 +121,9 @@ class Decontaminator:
             F.size("terms").alias("size"), ((F.col("rank") == 1) & exact).alias("exact"),
         )
         return lists.groupBy("id", "text_hash", "window_id", "start", "size", "probes").agg(
-            F.count(F.lit(1)).alias("lists"), F.bool_or("exact").alias("exact")
+            # Rows that are one document have each posting several times.
+            F.bit_count(F.bit_or(F.expr("shiftleft(1L, rank)"))).alias("lists"),
+            F.bool_or("exact").alias("exact"),
         ).where("lists = probes AND exact").select("id", "text_hash", "window_id", "start", "size")
 
     def proximity_matches(self) -> DataFrame:
