@@ -5,7 +5,8 @@ strict pattern with its checks, a gazetteer, the words before the span, its bord
 shape.  Expectation-maximisation estimates from all votes in the corpus how reliable each labeler is
 and how likely each pattern of votes marks personal data.  With these probabilities as labels a
 logistic classifier of span features is fitted.  It decides about the spans that only the loose
-patterns found; what the strict patterns accept always stays.
+patterns found; what the strict patterns accept always stays.  What they matched and refused counts in the
+estimates and hides nothing: a phone number behind a date, which together look like a card, is a candidate.
 
 Texts are read once.  What comes to the driver are counts by pattern of votes (at most 243 for each kind)
 and by cell of features (at most ``N_CELLS``), both over all documents.
@@ -157,7 +158,8 @@ def find(text: str) -> tuple[list[dict], list[dict]]:
             base.append({"kind": kind, "start": start, "end": end})
         elif any(s < end and start < e for s, e in (*strict, *taken)):
             continue
-        else:
+        elif not by_strict:
+            # A match that failed its check counts in the estimates only, so it must not hide a loose one.
             taken.append((start, end))
         span = text[start:end]
         digits = sum(map(str.isdigit, span))

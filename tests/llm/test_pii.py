@@ -71,6 +71,20 @@ def test_base_spans_of_any_text(text):
     assert [f"{pii.KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in base] == plain_base(text)
 
 
+def test_failed_strict_match_hides_no_phone(spark, documents, tmp_path):
+    for text, start, end in (("Tel 2024-01-15 415-555-2671", 15, 27), ("1234 415-555-2671", 5, 17)):
+        base, found = pii.find(text)
+        assert not base and [(c["start"], c["end"]) for c in found if c["check"] == 0] == [(start, end)]
+        assert [(pii.KINDS[c["kind"]], c["start"]) for c in found if c["check"] == 1] == [("card", text.index("2") if start > 5 else 0)]
+    # Behind numbers whose digits pass Luhn there would be a card, and no loose span.
+    dates = [f"2024-01-{day:02}" for day in range(1, 29) if not pii._luhn(f"202401{day:02}4155552671")]
+    docs = documents(*[(k, f"Tel {date} 415-555-2671") for k, date in enumerate(dates)],
+                     *[(100 + k, f"phone 415-555-{k:04}") for k in range(40)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spans = {row["doc_id"]: row["spans"] for row in QUERIES["op9_pii"](spark, str(tmp_path)).collect()}
+    assert len(dates) > 20 and all(spans[k] == "phone:15:27" for k in range(len(dates)))
+
+
 def test_reliable_labelers_decide():
     # The first labeler contradicts the others at random; agreement of the rest marks personal data.
     rows = [((1, 1, 1, 1, 1), 200), ((-1, 1, 1, 1, 1), 20), ((1, -1, -1, -1, -1), 20), ((-1, -1, -1, -1, -1), 200)]
