@@ -1,8 +1,10 @@
 """Exact BPE encoding and decoding for vocabularies with word ends.
 
 A text is normalised and cut into pieces the way the tokenizer file says; each piece is encoded
-by dynamic programming over its prefixes.  An automaton of all tokens with suffix links gives,
-at each position, the tokens that end there.  Exactly one of them is the last token of the
+by dynamic programming over its prefixes.  An Aho-Corasick automaton of all tokens gives,
+at each position, the tokens that end there.  It stands in place of a suffix automaton: that one would find
+any part of a token, while only whole tokens can be the last of a prefix, and these the trie with suffix links
+lists directly, in a library written in C.  Exactly one of them is the last token of the
 prefix's encoding: the one that is compatible with the last token of the prefix before it.  That
 token is the back-pointer of the position; following them from the end gives the ids.
 No merge is ever applied, and the work is linear in the length of a piece.
