@@ -47,9 +47,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each document the id, the token ids of its text, and their number."""
+    """Of each document the id, the token ids of its text, their number, and the digest of the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode(docs, path, ["doc_id"]).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    return bpe.round_trip(docs, path, ["doc_id"]).select(
+        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -48,6 +48,17 @@ def test_edge_rows_pass_every_stage(spark, documents, tmp_path):
     assert {7, 70} <= set(rows) and 72 not in rows and 73 not in rows
 
 
+def test_last_stage_decodes_what_it_encodes(spark, documents):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = {1: "Two words, it's 2024.", 2: "", 3: None, 4: "\u00dcber \u65e5\u672c \U0001f600"}
+    tokens = dict(corpus_pipeline.STAGES)["bpe_encoding"](spark, documents(*texts.items()), "")
+    assert tokens.columns == ["doc_id", "ids", "n_tokens", "decoded_sha256"]
+    for row in tokens.collect():
+        ids = bpe.load(path).encode(texts[row["doc_id"]] or "")
+        assert bytes(row["ids"]) == ids and row["n_tokens"] == len(ids) // 4
+        assert row["decoded_sha256"] == sha256(bpe.join_pieces(ids, bpe.load_pieces(path)).encode()).hexdigest()
+
+
 def test_no_documents(spark, documents, tmp_path):
     documents((1, "x")).where("false").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "one")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
