@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderline_kpi.llm.common import filled, groups_of
 from orderline_kpi.llm.components import connected_components
-from orderline_kpi.llm.packing import SCHEMA, pack, unpack
+from orderline_kpi.llm.packing import SCHEMA, bucket_bits, bucket_of, pack, unpack
 from orderline_kpi.sources.scratch import WorkArea
 
 SHINGLE = 7
 BANDS, ROWS = 14, 5  # finds a pair of similarity 0.8 with a probability of 0.996, one of 0.85 with 0.9997
 _BATCH_CHARS = 4 << 20
 _CHUNK = 1 << 15
+_BUCKET_ENTRIES = 1 << 21
 _NO_ID = -(1 << 63)
 _SMALL_BAND = 16
 _TYPES = [np.uint32, np.uint32, np.uint8, np.uint16, np.int64, np.uint32, np.uint32]
@@ -94,7 +95,7 @@ def _band_hash(signature: np.ndarray, band: int) -> np.ndarray:
     return h
 
 
-def _entries(bucket_bits: int):
+def _entries(bits: int):
     """Packed band entries of the distinct lines of each batch, and places of lines that repeat in it."""
     def emit(frame: pd.DataFrame) -> pd.DataFrame:
         seen: dict[str, int] = {}
@@ -130,17 +131,16 @@ def _entries(bucket_bits: int):
         wide = [np.repeat(column, BANDS) for column in (mark, weight, *place)]
         again = np.array(repeats, np.int64).reshape(-1, 3)
         none = np.zeros(len(again), np.uint64)
-        h = np.r_[hashes.T.ravel(), _spread(again, bucket_bits)]
+        h = np.r_[hashes.T.ravel(), _spread(again, bits)]
         columns = [
-            ((h << np.uint64(bucket_bits)) >> np.uint64(32)).astype(np.uint32),
+            ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32),
             np.r_[wide[0], none.astype(np.uint32)],
             np.r_[np.repeat(rest, BANDS) | first.T.ravel(), np.full(len(again), _SETTLED, np.uint8)],
             np.r_[wide[1], none.astype(np.uint16)],
             np.r_[wide[2], again[:, 0]], np.r_[wide[3], again[:, 1].astype(np.uint32)],
             np.r_[wide[4], again[:, 2].astype(np.uint32)],
         ]
-        bucket = (h >> np.uint64(64 - bucket_bits)).astype(np.int16) if bucket_bits else np.zeros(len(h), np.int16)
-        return pack(bucket, columns, _DELTAS)
+        return pack(bucket_of(h, bits), columns, _DELTAS)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -151,9 +151,9 @@ def _entries(bucket_bits: int):
     return run
 
 
-def _spread(places: np.ndarray, bucket_bits: int) -> np.ndarray:
+def _spread(places: np.ndarray, bits: int) -> np.ndarray:
     """Any buckets, evenly: settled places need no others."""
-    return (np.arange(len(places), dtype=np.uint64) % np.uint64(1 << bucket_bits)) << np.uint64(min(63, 64 - bucket_bits))
+    return (np.arange(len(places), dtype=np.uint64) % np.uint64(1 << bits)) << np.uint64(min(63, 64 - bits))
 
 
 _PARTS = ("id", "tie", "line")
@@ -336,7 +336,9 @@ def _links_in_bands(apart: DataFrame, lines: DataFrame, work: WorkArea, threshol
 
 def removed_lines(texts: DataFrame, work: WorkArea, threshold: float = 0.8) -> DataFrame:
     """``id, tie, gone``: the numbers of the lines that go, of each document (id, tie, text) that loses any."""
-    bits = min(14, (int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    n = BANDS * (texts.agg(F.sum(n_lines.cast("long"))).first()[0] or 0)
+    bits = bucket_bits(texts.sparkSession, n, _BUCKET_ENTRIES)
     met = work.table(
         texts.mapInPandas(_entries(bits), SCHEMA).groupBy("bucket").applyInPandas(_meet, _MEMBERS), "bands")
     members = met.where("line_group IS NOT NULL").select(

@@ -26,10 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from orderline_kpi.llm.common import filled
-from orderline_kpi.llm.packing import SCHEMA, pack, unpack
+from orderline_kpi.llm.packing import SCHEMA, bucket_bits, bucket_of, pack, unpack
 from orderline_kpi.sources.scratch import WorkArea
 
 _BATCH_WORDS = 1 << 19
+_BUCKET_BYTES = 1 << 24  # of text; a word takes two at least, about six in most languages
 _NO_ID = -(1 << 63)
 
 
@@ -91,10 +92,10 @@ class _Round:
         settled[later] = 1
         if self.with_first:
             settled[first] = 2  # found, but others have to see it still
-        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int32) if self.bits else np.zeros(len(hashes), np.int32)
+        bucket = bucket_of(hashes, self.bits)
         shift = 64 - self.bits - 8 * np.dtype(self.types[0]).itemsize
         kept = (hashes >> np.uint64(max(0, shift))).astype(self.types[0])
-        return pack(bucket.astype(np.int16), [kept, *more, *place, settled], self.deltas)
+        return pack(bucket, [kept, *more, *place, settled], self.deltas)
 
     def receive(self) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -221,10 +222,10 @@ def remove_repeats(
         F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"),
         F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), text.alias("text"),
     )
-    copies = _copies(texts, WorkArea(spark, "substrings"))
+    copies, n_bytes = _copies(texts, WorkArea(spark, "substrings"))
     own = texts.join(copies, ["id", "tie"], "left_anti")
-    # Buckets are read one at a time; there are as many as shuffle partitions, or up to twice that.
-    bits = min(14, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    # Buckets are read one at a time, so their number grows with the text.
+    bits = bucket_bits(spark, n_bytes, _BUCKET_BYTES)
     found = "id long, tie long, positions array<int>"
     first = _Round([np.uint32], window // 2, True, bits)
     second = _Round([np.uint64, np.uint16], 1, False, bits)
@@ -243,13 +244,14 @@ def remove_repeats(
     return cut.withColumn("id", F.nullif("id", F.lit(_NO_ID)).cast(kind)).withColumnRenamed("id", id_column)
 
 
-def _copies(texts: DataFrame, work: WorkArea) -> DataFrame:
-    """The documents (id, tie) whose whole text an earlier one has too.
+def _copies(texts: DataFrame, work: WorkArea) -> tuple[DataFrame, int]:
+    """The documents (id, tie) whose whole text an earlier one has too, and the bytes of all rows.
 
     They need no search: their windows all start earlier, and no window starts first in them.
     """
-    keys = work.table(texts.select("id", "tie", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
+    keys = work.table(texts.groupBy("id", "tie", F.md5(F.col("text").cast("binary")).alias("digest")).agg(
+        F.sum(F.octet_length("text").cast("long")).alias("n_bytes")), "digests")
     firsts = keys.groupBy("digest").agg(F.min(F.struct("id", "tie")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = work.table(firsts.where("n > 1"), "copied")
-    return work.table(
-        keys.join(firsts, "digest").where(F.struct("id", "tie") > F.col("first")).select("id", "tie"), "copies")
+    copies = keys.join(firsts, "digest").where(F.struct("id", "tie") > F.col("first")).select("id", "tie")
+    return work.table(copies, "copies"), keys.agg(F.sum("n_bytes")).first()[0] or 0

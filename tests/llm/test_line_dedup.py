@@ -4,7 +4,7 @@ from hashlib import sha256
 import pytest
 
 from edge_texts import EDGE_ROWS
-from orderline_kpi.llm import line_dedup
+from orderline_kpi.llm import line_dedup, packing
 from orderline_kpi.llm.queries import QUERIES
 from llm_fixtures import documents, package_for_workers  # noqa: F401
 
@@ -84,6 +84,14 @@ def test_fuzzy_groups_equal_brute_force(documents):
     assert got == expected
 
 
+def test_many_buckets_find_the_same(documents, monkeypatch):
+    rows = made_rows()[:12]
+    monkeypatch.setattr(line_dedup, "_BUCKET_ENTRIES", 0.01)
+    monkeypatch.setattr(line_dedup, "bucket_bits", lambda spark, n, each: packing.bucket_bits(spark, int(n / each), 1))
+    got = {row["doc_id"]: row["gone"] for row in line_dedup.remove_lines(documents(*rows)).collect() if row["gone"]}
+    assert got == plain_gone(rows)
+
+
 def test_edge_rows(documents):
     docs = documents(*EDGE_ROWS)
     rows = line_dedup.remove_lines(docs).collect()

@@ -72,3 +72,14 @@ def test_no_items(spark, documents):
     docs = documents(*EDGE_ROWS)
     none = decontaminate.Decontaminator(docs, spark.createDataFrame([], "item_id long, text string")).documents()
     assert none.count() == len(EDGE_ROWS) and none.where("n_hit > 0").isEmpty()
+
+
+def test_buckets_grow_with_the_entries(spark, setting):
+    setting("spark.sql.shuffle.partitions", "8")
+    assert [packing.bucket_bits(spark, n, 1000) for n in (0, 8000, 8001, 1 << 30)] == [3, 3, 4, 21]
+    setting("spark.sql.shuffle.partitions", "40000")
+    assert packing.bucket_bits(spark, 0, 1000) == 16
+    hashes = np.random.default_rng(1).integers(1 << 63, size=1000, dtype=np.uint64) * np.uint64(2)
+    place = [np.zeros(1000, np.int64), np.zeros(1000, np.uint32), np.arange(1000, dtype=np.uint32)]
+    sent = substring_dedup._Round([np.uint32], 10, True, 20).send(hashes, [], place)
+    assert set(sent["bucket"]) == set((hashes >> np.uint64(44)).tolist())
