@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderline_kpi.llm import licenses
+
 OP8_QUALITY_RULES = r"""
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
@@ -98,8 +100,83 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM docs LEFT JOIN removed USING (r) LEFT JOIN rest USING (r)
 """
 
+_PHRASE_PLACES = " || ".join(
+    f"[{{'at': i, 'label': '{label}'}} FOR i IN range(0, len(words)) IF words[i + 1:i + {len(phrase.split())}] = {phrase.split()}]"
+    for phrase, label in licenses.PHRASES.items())
+_TEMPLATE_LABELS = " || ".join(
+    f"CASE WHEN regexp_matches(joined, ' {licenses.template_pattern(template)}') THEN ['{label}'] ELSE [] END"
+    for label, template in licenses.TEMPLATES.items())
+
+# Templates as regular expressions over the words, built from the markup and not from the automata.
+OP12_LICENSES = rf"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), found AS (
+    SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS joined, {_PHRASE_PLACES} AS places FROM docs
+), labelled AS (
+    SELECT doc_id, words, places, list_distinct([p.label FOR p IN places]) AS base, {_TEMPLATE_LABELS} AS more FROM found
+)
+SELECT doc_id, len(words) AS n_words, len(places) AS n_base,
+       list_min([p.at FOR p IN places]) AS first_word, list_max([p.at FOR p IN places]) AS last_word,
+       coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(base || more)), ','), '') AS labels,
+       CASE WHEN len(more) > 0 THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM labelled
+"""
+
+# The remainder of each CRC-32 is worked out bit by bit; a node is the digest of the list of its turns' digests.
+OP13_PREFIX_TRIE = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, xor(list_reduce(
+        [ascii(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')],
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda r, bit: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END)),
+        4294967295::BIGINT), 4294967295) % 6 AS h
+    FROM turns WHERE place = 1
+), rebuilt AS (
+    SELECT c.conv_id, 1 AS part, place, role, text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND place <= h
+    UNION ALL
+    SELECT conv_id, 2, place, role, text FROM convs JOIN turns USING (conv_id) WHERE place > h
+), paths AS (
+    SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+           sha256(array_to_string(list(sha256(length(role) || ':' || role || text)) OVER w, ',')) AS node
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+), steps AS (
+    SELECT conv_id, depth, node, chars, lag(node, 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM paths
+    UNION ALL SELECT conv_id, 0, 'root', 0, NULL FROM convs
+), nodes AS (
+    SELECT node, min(conv_id) AS conv_id, min(depth) AS depth, min(parent) AS parent, min(chars) AS chars, count(*) AS n_convs
+    FROM steps GROUP BY node
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent
+), subtrees AS (
+    SELECT DISTINCT up.node AS node, down.node AS below
+    FROM steps up JOIN steps down ON up.conv_id = down.conv_id AND down.depth >= up.depth
+), totals AS (
+    SELECT subtrees.node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+    FROM subtrees JOIN nodes ON nodes.node = below LEFT JOIN children ON children.node = below GROUP BY subtrees.node
+), ends AS (
+    SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+    FROM (SELECT conv_id, arg_max(node, depth) AS node FROM steps GROUP BY conv_id) GROUP BY node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN totals USING (node) LEFT JOIN children USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN nodes p ON p.node = n.parent
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": OP7_DECONTAMINATION,
     "op8_quality_rules": OP8_QUALITY_RULES,
     "op10_substring_dedup": OP10_SUBSTRING_DEDUP,
+    "op12_licenses": OP12_LICENSES,
+    "op13_prefix_trie": OP13_PREFIX_TRIE,
 }

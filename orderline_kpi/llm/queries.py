@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderline_kpi.llm import bpe, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
+from orderline_kpi.llm import (
+    bpe, conversation_repair, decontaminate, licenses, line_dedup, pii, prefix_trie, quality_model, quality_rules, sharding,
+    simhash, substring_dedup, warc,
+)
 from orderline_kpi.llm.common import read_table, share_package
 from orderline_kpi.sources.scratch import WorkArea
 
@@ -93,6 +96,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(
+        conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("places", lambda place: place["phrase"])
+    starts = F.transform(base, lambda place: place["start"])
+    text_of = lambda places: F.array_join(F.array_sort(F.array_distinct(
+        F.transform(places, lambda place: place["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), text_of(base).alias("base_labels"), text_of("places").alias("labels"),
+        F.when(F.exists("places", lambda place: ~place["phrase"]), 1.0).when(F.size(base) > 0, 0.5).otherwise(0.0).alias("score"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations")).drop("high", "low")
+
+
 def _shared(query: Query) -> Query:
     return lambda spark, sf_dir: query(share_package(spark), sf_dir)
 
@@ -108,4 +133,7 @@ QUERIES: dict[str, Query] = {name: _shared(query) for name, query in {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_licenses": op12_licenses,
+    "op13_prefix_trie": op13_prefix_trie,
 }.items()}
