@@ -12,8 +12,10 @@ Documents are ordered by id; rows with the same id by their text, and rows that
 are one document.  A null id comes first.
 
 Probes outnumber everything else, so they are shuffled packed, at about 7 bytes each, and each batch
-first settles among its own: behind the first block of a hash it has nothing to send but the
-hits, so a passage that a third of all documents share costs a few entries per batch.
+first settles among its own.  Of equal blocks of a batch only the first anchor meets those of other batches; the hits behind
+it are dealt by document.  So a passage that a third of all documents share puts one entry per batch and
+block into the bucket of its hash.  Buckets answer by document too, in a row for each destination and
+not for each document.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from orderline_kpi.sources.scratch import WorkArea
 
 _BATCH_WORDS = 1 << 19
 _BUCKET_BYTES = 1 << 24  # of text; a word takes two at least, about six in most languages
+_HOME_BYTES = 1 << 26
 _NO_ID = -(1 << 63)
 
 
@@ -75,49 +78,69 @@ def _settle(
     return order[np.unique(first[later])], order[later]
 
 
+_PLACE = [np.int64, np.uint32, np.uint32]
+
+
+def _homeward(place: list[np.ndarray], bits: int, offset: int = 0) -> pd.DataFrame:
+    """Packed places, by the document they belong to; ``bits``: of the number of destinations."""
+    mixed = (place[0].view(np.uint64) + place[1]) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return pack(bucket_of(mixed, bits).astype(np.int32) + np.int32(offset), place, [True] * 3)
+
+
 class _Round:
-    """One exchange of entries (key, place) by key, which finds those behind the first of their key."""
+    """One exchange of entries (key, place) by key, which finds those behind the first of their key.
 
-    def __init__(self, key_types: list[type], step: int, with_first: bool, bucket_bits: int) -> None:
-        self.types = [*key_types, np.int64, np.uint32, np.uint32, np.uint8]
+    What a batch has settled itself needs no meeting: it goes through destinations of its own, dealt by document, behind
+    the buckets.  Buckets answer in the same form, one row for each destination.
+    """
+
+    def __init__(self, key_types: list[type], step: int, with_first: bool, bucket_bits: int, home_bits: int) -> None:
+        self.types = [*key_types, *_PLACE, np.uint8]
         self.deltas = [False] * len(key_types) + [True, True, True, False]
-        self.step, self.with_first, self.bits = step, with_first, bucket_bits
-        self.n_keys = len(key_types)
+        self.step, self.with_first, self.bits, self.home_bits = step, with_first, bucket_bits, home_bits
 
     def send(self, hashes: np.ndarray, more: list[np.ndarray], place: list[np.ndarray]) -> pd.DataFrame:
-        """Packed entries, in the order of ``place``; settled ones are marked and the needless left out."""
+        """Packed entries, in the order of ``place``."""
         keys = [hashes, *more]
         first, later = _settle(keys, place, place[2] % self.step == 0)
-        settled = np.zeros(len(hashes), np.uint8)
-        settled[later] = 1
+        found = np.zeros(len(hashes), np.uint8)
         if self.with_first:
-            settled[first] = 2  # found, but others have to see it still
-        bucket = bucket_of(hashes, self.bits)
+            found[first] = 1  # others have to see it still
+        open_ = np.ones(len(hashes), bool)
+        open_[later] = False
         shift = 64 - self.bits - 8 * np.dtype(self.types[0]).itemsize
         kept = (hashes >> np.uint64(max(0, shift))).astype(self.types[0])
-        return pack(bucket, [kept, *more, *place, settled], self.deltas)
+        columns = [column[open_] for column in (kept, *more, *place, found)]
+        return pd.concat([
+            pack(bucket_of(hashes[open_], self.bits), columns, self.deltas),
+            _homeward([column[~open_] for column in place], self.home_bits, 1 << self.bits)], ignore_index=True)
 
     def receive(self) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(rows: pd.DataFrame) -> pd.DataFrame:
-            columns = unpack(rows, self.types, self.deltas)
-            *keys, ids, ties, at, settled = columns
-            open_ = settled != 1
-            found = np.flatnonzero(settled)
-            first, later = _settle(
-                [key[open_] for key in keys], [c[open_] for c in (ids, ties, at)], at[open_] % self.step == 0)
-            more = np.flatnonzero(open_)[np.union1d(first, later) if self.with_first else later]
-            found = np.union1d(found, more)
-            found = found[np.lexsort((at[found], ties[found], ids[found]))]
-            ids, ties, at = ids[found], ties[found], at[found]
-            begins = np.flatnonzero(np.r_[len(ids) > 0, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])])
-            return pd.DataFrame({
-                "id": ids[begins], "tie": ties[begins].astype(np.int64),
-                "positions": pd.Series(np.split(at.astype(np.int32), begins[1:]) if len(begins) else [], dtype=object),
-            })
+            if rows["bucket"].iloc[0] >= 1 << self.bits:
+                return rows.assign(bucket=rows["bucket"] - (1 << self.bits))
+            *keys, ids, ties, at, found = unpack(rows, self.types, self.deltas)
+            first, later = _settle(keys, [ids, ties, at], at % self.step == 0)
+            behind = np.union1d(np.flatnonzero(found), np.union1d(first, later) if self.with_first else later)
+            behind = behind[np.lexsort((at[behind], ties[behind], ids[behind]))]
+            return _homeward([ids[behind], ties[behind], at[behind]], self.home_bits)
 
         return run
 
 
+def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row for each document of a destination, with all its positions."""
+    ids, ties, at = unpack(rows, _PLACE, [True] * 3)
+    order = np.lexsort((at, ties, ids))
+    ids, ties, at = ids[order], ties[order], at[order]
+    begins = np.flatnonzero(np.r_[len(ids) > 0, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])])
+    return pd.DataFrame({
+        "id": ids[begins], "tie": ties[begins].astype(np.int64),
+        "positions": pd.Series(np.split(at.astype(np.int32), begins[1:]) if len(begins) else [], dtype=object),
+    })
+
+
 def _batches_of_words(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
     """Rows in the order of their documents, with their words, at most about half a million words at once."""
     for frame in frames:
@@ -224,19 +247,19 @@ def remove_repeats(
     )
     copies, n_bytes = _copies(texts, WorkArea(spark, "substrings"))
     own = texts.join(copies, ["id", "tie"], "left_anti")
-    # Buckets are read one at a time, so their number grows with the text.
-    bits = bucket_bits(spark, n_bytes, _BUCKET_BYTES)
-    found = "id long, tie long, positions array<int>"
-    first = _Round([np.uint32], window // 2, True, bits)
-    second = _Round([np.uint64, np.uint16], 1, False, bits)
-    gathered = lambda rows: rows.groupBy("id", "tie").agg(
-        F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
-    hits = gathered(
-        own.mapInPandas(_probes(window, first), SCHEMA).groupBy("bucket").applyInPandas(first.receive(), found))
-    repeats = gathered(
-        texts.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions")
-        .mapInPandas(_windows(window, second), SCHEMA)
-        .groupBy("bucket").applyInPandas(second.receive(), found))
+    # Buckets and destinations are read one at a time, so their numbers grow with the text.
+    bits, home_bits = min(30, bucket_bits(spark, n_bytes, _BUCKET_BYTES)), min(30, bucket_bits(spark, n_bytes, _HOME_BYTES))
+    first = _Round([np.uint32], window // 2, True, bits, home_bits)
+    second = _Round([np.uint64, np.uint16], 1, False, bits, home_bits)
+
+    def exchanged(entries: DataFrame, by: _Round) -> DataFrame:
+        answers = entries.groupBy("bucket").applyInPandas(by.receive(), SCHEMA)
+        return answers.groupBy("bucket").applyInPandas(_by_document, "id long, tie long, positions array<int>")
+
+    hits = exchanged(own.mapInPandas(_probes(window, first), SCHEMA), first)
+    repeats = exchanged(
+        texts.join(hits, ["id", "tie"]).select("id", "tie", "text", "positions").mapInPandas(_windows(window, second), SCHEMA),
+        second)
     marked = texts.join(repeats, ["id", "tie"], "left").join(
         copies.withColumn("copy", F.lit(True)), ["id", "tie"], "left")
     cut = marked.select("id", "text", "copy", "positions").mapInPandas(

@@ -10,6 +10,9 @@ import numpy as np
 import pandas as pd
 
 
+WORDS = [f"word{k}" for k in range(5000)]
+
+
 def plain_kept(rows, window):
     """The words that stay, by looking up every window."""
     first, kept = {}, {}
@@ -81,5 +84,37 @@ def test_buckets_grow_with_the_entries(spark, setting):
     assert packing.bucket_bits(spark, 0, 1000) == 16
     hashes = np.random.default_rng(1).integers(1 << 63, size=1000, dtype=np.uint64) * np.uint64(2)
     place = [np.zeros(1000, np.int64), np.zeros(1000, np.uint32), np.arange(1000, dtype=np.uint32)]
-    sent = substring_dedup._Round([np.uint32], 10, True, 20).send(hashes, [], place)
+    sent = substring_dedup._Round([np.uint32], 10, True, 20, 3).send(hashes, [], place)
     assert set(sent["bucket"]) == set((hashes >> np.uint64(44)).tolist())
+
+
+def test_a_passage_that_is_everywhere_fills_no_bucket(spark):
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(25)]
+    rows = [(doc, 0, " ".join(
+        rng.choices(WORDS, k=rng.randint(5, 60)) + passage + rng.choices(WORDS, k=rng.randint(20, 60)))) for doc in range(6000)]
+    texts = spark.createDataFrame(rows, "id long, tie long, text string")
+    first = substring_dedup._Round([np.uint32], 10, True, 6, 4)
+    sent = texts.mapInPandas(substring_dedup._probes(20, first), packing.SCHEMA).groupBy("bucket").sum("entries").toPandas()
+    buckets, homes = (sent[sent["bucket"].lt(64) == here]["sum(entries)"] for here in (True, False))
+    # 16 blocks of the passage in each document; nearly all go home at once.
+    assert len(buckets) == 64 and buckets.max() < 3 * buckets.median()
+    assert len(homes) == 16 and homes.sum() > 0.9 * 16 * 6000 and homes.max() < 1.5 * homes.median()
+
+
+def test_answers_grow_with_buckets_and_not_with_documents(spark, setting, monkeypatch):
+    rng = random.Random(6)
+    rows = [(doc, " ".join(rng.choices(WORDS[:40], k=60) + [f"w{k}" for k in range(doc % 50, doc % 50 + 25)])) for doc in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gather = substring_dedup._by_document
+    setting("spark.sql.shuffle.partitions", "4")
+    counted = spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        counted.add(len(rows))
+        return gather(rows)
+
+    monkeypatch.setattr(substring_dedup, "_by_document", counting)
+    substring_dedup.remove_repeats(docs).write.format("noop").mode("overwrite").save()
+    # Two rounds; each bucket and each batch sends at most one row to each of 4 destinations.
+    assert 0 < counted.value <= 2 * (4 + 16) * 4
