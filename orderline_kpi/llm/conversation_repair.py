@@ -162,23 +162,25 @@ _ORDER = ("present", "turn", "tie", "copy")
 
 
 def with_codes(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``code``: fault and initial of each row, null for a dropped one."""
-    place = F.struct(F.col("turn").isNotNull().alias("present"), *_ORDER[1:])
-    rows = rows.withColumns({
-        "place": place, "digest": F.unhex(F.md5(F.concat(
-            F.octet_length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")).cast("binary")))})
+    """``conv_id, turn, tie, copy, code`` of each row: fault and initial as one number, null for a dropped row."""
+    bare = F.regexp_replace("text", f"^{SPACE}|{SPACE}$", "")
+    alone = F.when(bare == "", BLANK).when(~F.right(bare, F.lit(1)).isin(*".!?"), TRUNCATED).otherwise(SOUND)
+    initial = F.when(F.col("role") == "", 3).otherwise(
+        F.coalesce(F.nullif(F.instr(F.lit(_INITIALS), F.left("role", F.lit(1))), F.lit(0)) - 1, F.lit(3)))
+    # Texts stay behind: what is joined is a few numbers a row.
+    rows = rows.select(
+        "conv_id", "turn", "tie", "copy", "dropped", alone.alias("alone"), initial.alias("initial"),
+        F.struct(F.col("turn").isNotNull().alias("present"), *_ORDER[1:]).alias("place"),
+        F.unhex(F.md5(F.concat(F.octet_length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")).cast("binary"))
+                ).alias("digest"))
     firsts = rows.where("NOT dropped").groupBy("conv_id", "digest").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
         F.col("conv_id").alias("first_conv"), F.col("digest").alias("first_digest"), "first")
     same = F.col("conv_id").eqNullSafe(F.col("first_conv")) & (F.col("digest") == F.col("first_digest"))
     seen = F.coalesce(F.col("place") > F.col("first"), F.lit(False))
-    bare = F.regexp_replace("text", f"^{SPACE}|{SPACE}$", "")
-    fault = F.when(bare == "", BLANK).when(seen, DUPLICATE).when(~F.right(bare, F.lit(1)).isin(*".!?"), TRUNCATED).otherwise(SOUND)
-    initial = F.coalesce(F.nullif(F.instr(F.lit(_INITIALS), F.left("role", F.lit(1))), F.lit(0)) - 1, F.lit(3))
-    initial = F.when(F.col("role") == "", 3).otherwise(initial)
+    fault = F.when(seen & (F.col("alone") != BLANK), DUPLICATE).otherwise(F.col("alone"))
     return rows.join(firsts, same, "left").select(
-        "conv_id", "turn", "tie", "copy", "role", "text",
-        F.when(~F.col("dropped"), fault * 4 + initial).alias("code"))
+        "conv_id", "turn", "tie", "copy", F.when(~F.col("dropped"), fault * 4 + F.col("initial")).alias("code"))
 
 
 class _Conversation:
@@ -275,11 +277,11 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
     than s, u or a fits nowhere.  A conversation of dropped rows only has zeros, an empty audit and the
     hash of nothing; an empty table gives an empty result.
     """
-    coded = with_codes(rows)
-    # Two rows for each: its code, and behind the codes of its conversation, its text.
-    parts = F.explode(F.when(F.col("code").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))))
-    both = coded.withColumn("part", parts).withColumns({
-        "role": F.when(F.col("part") == 1, F.col("role")), "text": F.when(F.col("part") == 1, F.col("text")),
-        "present": F.col("turn").isNotNull()})
+    # Of each conversation first all codes, then all texts.
+    nothing = F.lit(None).cast("string")
+    codes = with_codes(rows).select(*_STREAMED[:5], nothing.alias("role"), nothing.alias("text"), F.lit(0).alias("part"))
+    texts = rows.where("NOT dropped").select(
+        *_STREAMED[:4], F.lit(None).cast("int").alias("code"), "role", "text", F.lit(1).alias("part"))
+    both = codes.union(texts).withColumn("present", F.col("turn").isNotNull())
     ordered = both.repartition("conv_id").sortWithinPartitions("conv_id", "part", *_ORDER)
     return ordered.select(*_STREAMED).mapInArrow(_streamed, _RESULT)
