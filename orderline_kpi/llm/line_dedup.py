@@ -15,6 +15,7 @@ many pairs as it has members.  Only pairs of members that are still apart are co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -28,15 +29,22 @@ from orderline_kpi.llm.packing import SCHEMA, bucket_bits, bucket_of, pack, unpa
 from orderline_kpi.sources.scratch import WorkArea
 
 SHINGLE = 7
+#: A character that is no white space, in any script; lines without one are left alone.
+VISIBLE = r"(?U)[^\s\x1C-\x1F]"
 BANDS, ROWS = 14, 5  # finds a pair of similarity 0.8 with a probability of 0.996, one of 0.85 with 0.9997
 _BATCH_CHARS = 4 << 20
 _CHUNK = 1 << 15
 _BUCKET_ENTRIES = 1 << 21
 _NO_ID = -(1 << 63)
 _SMALL_BAND = 16
-_TYPES = [np.uint32, np.uint32, np.uint8, np.uint16, np.int64, np.uint32, np.uint32]
+_CHARACTER_BITS, _LONG_LINE, _KNOWN_LINES = 9, 200, 2000
+# An entry: band hash, line hash, marks, weight, place.  What a batch has settled: band, place, place of its head.
+_TYPES = [np.uint32, np.uint64, np.uint8, np.uint16, np.int64, np.uint32, np.uint32]
 _DELTAS = [False, False, False, False, True, True, True]
-_FIRST_BAND, _SETTLED = 64, 128  # bits beside six of the line hash
+_SETTLED_TYPES = [np.int64, *_TYPES[4:], *_TYPES[4:]]
+_SETTLED_DELTAS = [False] + [True] * 6
+_FIRST_BAND, _FOLLOWED = 1, 2  # marks
+_NO_GROUP = -1
 
 
 def normal(line: str) -> str:
@@ -96,7 +104,10 @@ def _band_hash(signature: np.ndarray, band: int) -> np.ndarray:
 
 
 def _entries(bits: int):
-    """Packed band entries of the distinct lines of each batch, and places of lines that repeat in it."""
+    """Packed band entries of each batch: of the lines in a band only the commonest, its head, goes to meet other batches.
+
+    The other lines of the band, and lines that repeat in the batch, are settled and go anywhere, evenly.
+    """
     def emit(frame: pd.DataFrame) -> pd.DataFrame:
         seen: dict[str, int] = {}
         ids, ties, numbers, weights, repeats = [], [], [], [], []
@@ -119,28 +130,34 @@ def _entries(bits: int):
                     weights[at] += 1
                     repeats.append((doc, tie, number))
         lines = list(seen)
+        n = len(lines)
         signature = signatures(lines)
-        marks = np.fromiter((xxhash.xxh64_intdigest(line, 3) for line in lines), np.uint64, len(lines))
-        mark, rest = (marks >> np.uint64(32)).astype(np.uint32), (marks & np.uint64(63)).astype(np.uint8)
+        mark = np.fromiter((xxhash.xxh64_intdigest(line, 3) for line in lines), np.uint64, n)
         weight = np.minimum(np.array(weights, np.int64), 65535).astype(np.uint16)
         place = [np.array(ids, np.int64), np.array(ties, np.int64).astype(np.uint32), np.array(numbers, np.uint32)]
-        hashes = np.stack([_band_hash(signature, band) for band in range(BANDS)])
-        first = np.zeros((BANDS, len(lines)), np.uint8)
-        first[0] = _FIRST_BAND
         # Line by line, all bands of a line together, so that differences of places are small.
-        wide = [np.repeat(column, BANDS) for column in (mark, weight, *place)]
+        h = np.stack([_band_hash(signature, band) for band in range(BANDS)], axis=1).ravel()
+        head = _heads(h, np.repeat(weight, BANDS))
+        marks = np.zeros((n, BANDS), np.uint8)
+        marks[:, 0] = _FIRST_BAND
+        marks = marks.ravel()
+        followers = np.flatnonzero(head != np.arange(len(h)))
+        marks[head[followers]] |= _FOLLOWED
+        sent = np.flatnonzero(head == np.arange(len(h)))
+        line = sent // BANDS
+        met = pack(bucket_of(h[sent], bits), [
+            _low(h[sent], bits), mark[line], marks[sent], weight[line], *(column[line] for column in place)], _DELTAS)
+
         again = np.array(repeats, np.int64).reshape(-1, 3)
-        none = np.zeros(len(again), np.uint64)
-        h = np.r_[hashes.T.ravel(), _spread(again, bits)]
-        columns = [
-            ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32),
-            np.r_[wide[0], none.astype(np.uint32)],
-            np.r_[np.repeat(rest, BANDS) | first.T.ravel(), np.full(len(again), _SETTLED, np.uint8)],
-            np.r_[wide[1], none.astype(np.uint16)],
-            np.r_[wide[2], again[:, 0]], np.r_[wide[3], again[:, 1].astype(np.uint32)],
-            np.r_[wide[4], again[:, 2].astype(np.uint32)],
-        ]
-        return pack(bucket_of(h, bits), columns, _DELTAS)
+        own, to = followers // BANDS, head[followers] // BANDS
+        group = (bucket_of(h[followers], bits).astype(np.int64) << np.int64(32)) | _low(h[followers], bits).astype(np.int64)
+        again = [again[:, 0], again[:, 1].astype(np.uint32), again[:, 2].astype(np.uint32)]
+        settled = [
+            np.r_[group, np.full(len(again[0]), _NO_GROUP, np.int64)],
+            *(np.r_[column[own], more] for column, more in zip(place, again, strict=True)),
+            *(np.r_[column[to], more] for column, more in zip(place, again, strict=True))]
+        anywhere = (np.arange(len(settled[0])) % (1 << bits) + (1 << bits)).astype(np.int32)
+        return pd.concat([met, pack(anywhere, settled, _SETTLED_DELTAS)], ignore_index=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -151,9 +168,21 @@ def _entries(bits: int):
     return run
 
 
-def _spread(places: np.ndarray, bits: int) -> np.ndarray:
-    """Any buckets, evenly: settled places need no others."""
-    return (np.arange(len(places), dtype=np.uint64) % np.uint64(1 << bits)) << np.uint64(min(63, 64 - bits))
+def _heads(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of each entry the place of its band's head: the heaviest entry with its hash, the first of several."""
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    order = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
+    order = order[np.lexsort((order, -weight[order].astype(np.int32), h[order]))]
+    begins = np.r_[np.ones(min(1, len(order)), bool), h[order[1:]] != h[order[:-1]]]
+    head = np.arange(len(h))
+    head[order] = order[np.flatnonzero(begins)][np.cumsum(begins) - 1] if len(order) else order
+    return head
+
+
+def _low(h: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits of a hash behind those that name its bucket."""
+    return ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
 
 
 _PARTS = ("id", "tie", "line")
@@ -164,68 +193,120 @@ def _place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + part).alias(part) for part in _PARTS])
 
 
-def _meet(rows: pd.DataFrame) -> pd.DataFrame:
+def _member_rows(group: np.ndarray, place: list[np.ndarray], head: list[np.ndarray]) -> pd.DataFrame:
+    rows = {"line_group": pd.Series(group).astype("Int64").mask(group == _NO_GROUP)}
+    for prefix, columns in (("", place), ("head_", head)):
+        for part, column in zip(_PARTS, columns, strict=True):
+            rows[prefix + part] = column.astype(np.int32 if part == "line" else np.int64)
+    return pd.DataFrame(rows)
+
+
+def _meet(bits: int):
     """Of one bucket: lines that have to go, without a group, and members of bands with their band's head.
 
-    Lines of a band with one line hash are equal; the first stands for them all.  The head is the commonest.
+    Lines of a band with one line hash, of 64 bits, are equal; the first stands for them all, and is the head of those that
+    lines of their batch follow.  The head of a band is its commonest line.
     """
-    h, mark, more, weight, ids, ties, numbers = unpack(rows, _TYPES, _DELTAS)
-    gone = [np.flatnonzero(more >= _SETTLED)]
-    order = np.flatnonzero(more < _SETTLED)
-    order = order[np.argsort(h[order])]
-    same = h[order[1:]] == h[order[:-1]]
-    order = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
-    order = order[np.lexsort([c[order] for c in (numbers, ties, ids, more & 63, mark, h)])]
-    new_band = np.r_[np.ones(min(1, len(order)), bool), h[order[1:]] != h[order[:-1]]]
-    new_line = new_band.copy()
-    for column in (mark, more & 63):
-        new_line[1:] |= column[order[1:]] != column[order[:-1]]
-    firsts, line_of = np.flatnonzero(new_line), np.cumsum(new_line) - 1
-    leader = order[firsts][line_of] if len(order) else order
-    later = np.logical_or.reduce([column[order] != column[leader] for column in (ids, ties, numbers)])
-    gone.append(order[later & (more[order] & _FIRST_BAND > 0)])
-    # From here on one entry per line.
-    total = np.bincount(line_of, weight[order], len(firsts)) if len(order) else np.zeros(0)
-    line, band = order[firsts], (np.cumsum(new_band) - 1)[firsts]
-    by_weight = np.lexsort((np.arange(len(line)), -total, band))
-    starts = np.flatnonzero(np.r_[np.ones(min(1, len(line)), bool), band[1:] != band[:-1]])
-    head = line[by_weight[starts]][band] if len(line) else line
-    shared = (np.bincount(band, minlength=len(starts)) > 1)[band] if len(line) else np.zeros(0, bool)
-    group = (np.int64(rows["bucket"].iloc[0]) << np.int64(32)) | h[line].astype(np.int64)
-
-    gone, kept, heads = np.concatenate(gone), line[shared], head[shared]
-    n, at, to = len(gone), np.r_[gone, kept].astype(np.int64), np.r_[gone, heads].astype(np.int64)
-    return pd.DataFrame({
-        "line_group": pd.array([None] * n + group[shared].tolist(), "Int64"),
-        "id": ids[at], "tie": ties[at].astype(np.int64), "line": numbers[at].astype(np.int32),
-        "head_id": ids[to], "head_tie": ties[to].astype(np.int64), "head_line": numbers[to].astype(np.int32),
-    })
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] >= 1 << bits:
+            group, *places = unpack(rows, _SETTLED_TYPES, _SETTLED_DELTAS)
+            return _member_rows(group, places[:3], places[3:])
+        h, mark, marks, weight, *place = unpack(rows, _TYPES, _DELTAS)
+        order = np.argsort(h)
+        same = h[order[1:]] == h[order[:-1]]
+        order = order[np.r_[False, same] | np.r_[same, False] | (marks[order] & _FOLLOWED > 0)] if len(order) else order
+        ids, ties, numbers = place
+        order = order[np.lexsort([c[order] for c in (numbers, ties, ids, mark, h)])]
+        new_band = np.r_[np.ones(min(1, len(order)), bool), h[order[1:]] != h[order[:-1]]]
+        new_line = new_band.copy()
+        new_line[1:] |= mark[order[1:]] != mark[order[:-1]]
+        firsts, line_of = np.flatnonzero(new_line), np.cumsum(new_line) - 1
+        leader = order[firsts][line_of] if len(order) else order
+        later = np.logical_or.reduce([column[order] != column[leader] for column in place])
+        gone = order[later & (marks[order] & _FIRST_BAND > 0)]
+        linked = later & (marks[order] & _FOLLOWED > 0)
+        equal, equal_to = order[linked], leader[linked]
+        # From here on one entry per line.
+        total = np.bincount(line_of, weight[order], len(firsts)) if len(order) else np.zeros(0)
+        followed = np.bincount(line_of, marks[order] & _FOLLOWED > 0, len(firsts)) > 0 if len(order) else np.zeros(0, bool)
+        line, band = order[firsts], (np.cumsum(new_band) - 1)[firsts]
+        by_weight = np.lexsort((np.arange(len(line)), -total, band))
+        starts = np.flatnonzero(np.r_[np.ones(min(1, len(line)), bool), band[1:] != band[:-1]])
+        head = line[by_weight[starts]][band] if len(line) else line
+        shared = (np.bincount(band, minlength=len(starts)) > 1)[band] | followed if len(line) else np.zeros(0, bool)
+        at, to = np.r_[gone, line[shared], equal].astype(np.int64), np.r_[gone, head[shared], equal_to].astype(np.int64)
+        group = (np.int64(rows["bucket"].iloc[0]) << np.int64(32)) | h[at].astype(np.int64)
+        group[:len(gone)] = _NO_GROUP
+        return _member_rows(group, [c[at] for c in place], [c[to] for c in place])
+
+    return run
 
 
 def _shingles(line: str) -> set[str]:
     return {line[k:k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def jaccard(a: set[str], b: set[str]) -> float:
-    shared = len(a & b)
-    return shared / (len(a) + len(b) - shared)
+def _codes(line: str) -> np.ndarray:
+    """The distinct shingles of a line as ascending numbers, 9 bits for each character; the line's characters have to fit."""
+    points = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = len(points) - SHINGLE + 1
+    codes = points[:n].copy()
+    for j in range(1, SHINGLE):
+        codes <<= np.uint64(_CHARACTER_BITS)
+        codes |= points[j:j + n]
+    codes.sort()
+    return codes[np.r_[True, codes[1:] != codes[:-1]]]
+
+
+class _Line:
+    """A line and its set of shingles, in one of two exact forms, made when they are needed."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        # Long lines of Latin scripts are compared as sorted numbers, all others as sets.
+        self.is_long = len(text) > _LONG_LINE and ord(max(text)) < 1 << _CHARACTER_BITS
+
+    @cached_property
+    def shingles(self) -> set[str]:
+        return _shingles(self.text)
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        return _codes(self.text)
+
+    def near(self, other: _Line, threshold: float) -> bool:
+        """Whether the Jaccard similarity of the shingles of both lines reaches the threshold."""
+        by_code = self.is_long and other.is_long
+        a, b = (self.codes, other.codes) if by_code else (self.shingles, other.shingles)
+        # Of n shingles at most n are shared, and at least as many as the longer line has are in one of both.
+        if min(len(a), len(b)) / max(len(a), len(b)) < threshold:
+            return False
+        if by_code:
+            both = np.concatenate([a, b])
+            both.sort()
+            shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        else:
+            shared = len(a & b)
+        return shared / (len(a) + len(b) - shared) >= threshold
+
+
+class _Lines(dict[str, _Line]):
+    """Lines by text; of those seen last the shingles are kept."""
+
+    def __missing__(self, text: str) -> _Line:
+        if len(self) > _KNOWN_LINES:
+            self.clear()
+        line = self[text] = _Line(text)
+        return line
 
 
 def _similar(a: Column, b: Column, threshold: float) -> Column:
     """Whether the lines of a pair are similar; the shingles of a line that comes in many pairs are kept."""
     @F.pandas_udf("boolean")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        known: dict[str, set[str]] = {}
-
-        def shingles(line: str) -> set[str]:
-            if line not in known:
-                if len(known) > 2000:
-                    known.clear()
-                known[line] = _shingles(line)
-            return known[line]
-
+        known = _Lines()
         return pd.Series(
-            [x == y or jaccard(_shingles(x), shingles(y)) >= threshold for x, y in zip(left, right, strict=True)], dtype=bool)
+            [x == y or known[x].near(known[y], threshold) for x, y in zip(left, right, strict=True)], dtype=bool)
 
     return run(a, b)
 
@@ -254,36 +335,41 @@ def _near_heads(tried: DataFrame, lines: DataFrame, threshold: float) -> DataFra
     return both.where(_similar(F.col("left"), F.col("right"), threshold)).select("a", "b")
 
 
-def _small_forest(sets: list[set[str]], root: list[int], threshold: float) -> list[tuple[int, int]]:
+def _small_forest(lines: list[_Line], root: list[int], threshold: float) -> list[tuple[int, int]]:
     links = []
     largest = max(root, key=root.count)
     for x in [x for x, tree in enumerate(root) if tree != largest]:
-        for y in range(len(sets)):
-            if root[y] != root[x] and jaccard(sets[x], sets[y]) >= threshold:
+        for y in range(len(lines)):
+            if root[y] != root[x] and lines[x].near(lines[y], threshold):
                 links.append((x, y))
                 joined = root[y]
                 root = [root[x] if tree == joined else tree for tree in root]
     return links
 
 
-def _forest(texts: list[str], root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+def _forest(lines: list[_Line], root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Links between lines of one band whose components (``root``) are still apart: as many as connect them, no more.
 
-    Lines outside the largest component are compared with those of all others: set by set in a small band, else by
+    Lines outside the largest component are compared with those of all others: pair by pair in a small band, else by
     a tally of shared shingles over posting lists.
     """
-    if len(texts) <= _SMALL_BAND:
-        return _small_forest([_shingles(text) for text in texts], root.tolist(), threshold)
-    codes: dict[str, int] = {}
-    own = [[codes.setdefault(shingle, len(codes)) for shingle in _shingles(text)] for text in texts]
-    sizes = np.fromiter(map(len, own), np.int64, len(own))
-    code = np.fromiter(chain.from_iterable(own), np.int64, sizes.sum())
+    if len(lines) <= _SMALL_BAND:
+        return _small_forest(lines, root.tolist(), threshold)
+    if all(line.is_long for line in lines):
+        sizes = np.fromiter((len(line.codes) for line in lines), np.int64, len(lines))
+        _, code = np.unique(np.concatenate([line.codes for line in lines]), return_inverse=True)
+    else:
+        known: dict[str, int] = {}
+        numbered = [[known.setdefault(shingle, len(known)) for shingle in line.shingles] for line in lines]
+        sizes = np.fromiter(map(len, numbered), np.int64, len(numbered))
+        code = np.fromiter(chain.from_iterable(numbered), np.int64, sizes.sum())
+    own = np.split(code, np.cumsum(sizes)[:-1])
     members = np.repeat(np.arange(len(own)), sizes)[np.argsort(code, kind="stable")]
     ends = np.cumsum(np.bincount(code)).tolist()
     postings = [members[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
     links, root = [], root.copy()
     for x in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
-        shared = np.bincount(np.concatenate([postings[code] for code in own[x]]), minlength=len(own))
+        shared = np.bincount(np.concatenate([postings[code] for code in own[x].tolist()]), minlength=len(own))
         near = np.flatnonzero((shared / (sizes + sizes[x] - shared) >= threshold) & (root != root[x]))
         for tree, at in zip(*np.unique(root[near], return_index=True), strict=True):
             links.append((x, int(near[at])))
@@ -296,6 +382,7 @@ def _links_within(threshold: float):
     parts = [f"{side}_{part}" for side in "ab" for part in _PARTS]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Lines()
         for part, begins, ends in groups_of(batches, ["line_group", "row", "column"]):
             places = part[list(_PARTS)].to_numpy()
             texts, roots = part["text"].tolist(), list(zip(*(part[f"root_{name}"] for name in _PARTS), strict=True))
@@ -304,7 +391,7 @@ def _links_within(threshold: float):
                 codes: dict[tuple, int] = {}
                 root = np.array([codes.setdefault(r, len(codes)) for r in roots[a:b]])
                 if len(codes) > 1:
-                    links += [(a + x, a + y) for x, y in _forest(texts[a:b], root, threshold)]
+                    links += [(a + x, a + y) for x, y in _forest([known[text] for text in texts[a:b]], root, threshold)]
             at = np.array(links, np.int64).reshape(-1, 2)
             yield pd.DataFrame(np.hstack([places[at[:, 0]], places[at[:, 1]]]), columns=parts)
 
@@ -338,9 +425,9 @@ def removed_lines(texts: DataFrame, work: WorkArea, threshold: float = 0.8) -> D
     """``id, tie, gone``: the numbers of the lines that go, of each document (id, tie, text) that loses any."""
     n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     n = BANDS * (texts.agg(F.sum(n_lines.cast("long"))).first()[0] or 0)
-    bits = bucket_bits(texts.sparkSession, n, _BUCKET_ENTRIES)
+    bits = min(30, bucket_bits(texts.sparkSession, n, _BUCKET_ENTRIES))
     met = work.table(
-        texts.mapInPandas(_entries(bits), SCHEMA).groupBy("bucket").applyInPandas(_meet, _MEMBERS), "bands")
+        texts.mapInPandas(_entries(bits), SCHEMA).groupBy("bucket").applyInPandas(_meet(bits), _MEMBERS), "bands")
     members = met.where("line_group IS NOT NULL").select(
         "line_group", _place().alias("place"), _place("head_").alias("head"))
     tried = work.table(
@@ -378,7 +465,7 @@ def remove_lines(
 ) -> DataFrame:
     """``columns`` of each row of ``docs`` (all by default) with the text that is left, ``n_lines`` and ``gone``.
 
-    ``n_lines`` counts the lines with a visible character; ``gone`` lists the numbers of the removed ones, from 0.
+    ``n_lines`` counts the lines with a visible character, one that is no Unicode white space; ``gone`` lists the numbers of the removed ones, from 0.
     The other lines are joined again as they were.  Rows that agree in id and text are one document and
     lose the same lines.  A text may end up empty; its row stays.  Null texts stay null.  Ids are
     integers.  Columns named like new ones are replaced.  An empty table gives an empty result.
@@ -400,6 +487,6 @@ def remove_lines(
         F.filter(lines, lambda line, at: ~F.array_contains("__gone", at)), "\n"))
     return rows.withColumns({
         "__left": left,
-        "n_lines": F.size(F.filter(F.split(filled(F.col("__text")), "\n"), lambda line: line.rlike(r"\S"))).cast("long"),
+        "n_lines": F.size(F.filter(F.split(filled(F.col("__text")), "\n"), lambda line: line.rlike(VISIBLE))).cast("long"),
         "gone": F.coalesce("__gone", F.array().cast("array<int>")),
     }).select(*[F.col("__left").alias(c) if c == text_column else c for c in columns], "n_lines", "gone")

@@ -110,3 +110,32 @@ def test_signatures_do_not_depend_on_neighbours(size):
     alone = line_dedup.signatures([line[:size]])
     among = line_dedup.signatures(["some other line", line[:size], "a", "b" * 100_000])
     assert (alone[0] == among[1]).all()
+
+
+def test_near_copies_fill_no_bucket(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(3000)]
+    template = rng.choices(words, k=40)
+    rows = []
+    for doc in range(6000):
+        near = template.copy()
+        near[rng.randrange(40)] = rng.choice(words)
+        rows.append((doc, 0, "\n".join([" ".join(near), " ".join(rng.choices(words, k=12))])))
+    texts = spark.createDataFrame(rows, "id long, tie long, text string").repartition(8)
+    sent = texts.mapInPandas(line_dedup._entries(6), packing.SCHEMA).groupBy("bucket").sum("entries").toPandas()
+    for sizes in (sent[sent["bucket"] < 64]["sum(entries)"], sent[sent["bucket"] >= 64]["sum(entries)"]):
+        assert len(sizes) == 64 and sizes.max() < 3 * sizes.median()
+
+
+def test_heads_of_batches_meet(documents, monkeypatch):
+    # Batches of a few lines, so that heads of one band, equal and unequal ones, come from many batches.
+    rows = made_rows()[:40]
+    rows = [(3 * doc + k, text) for doc, text in rows for k in range(2)]
+    monkeypatch.setattr(line_dedup, "_BATCH_CHARS", 1500)
+    got = {row["doc_id"]: row["gone"] for row in line_dedup.remove_lines(documents(*rows)).collect() if row["gone"]}
+    assert got == plain_gone(rows)
+
+
+def test_lines_of_white_space_in_any_script_do_not_count(documents):
+    rows = line_dedup.remove_lines(documents((1, "a line\n\u00a0\u2003\n\x1c\n\u00a0\u2003"))).collect()
+    assert rows[0]["n_lines"] == 1 and rows[0]["gone"] == []
