@@ -8,8 +8,10 @@ list the shared positional bytes of each pair are tallied, pairs with fewer than
 dropped, and the rest are verified bit by bit.
 
 Equal fingerprints are one entry.  Of the links found in a list only a spanning forest is
-written, so a dense group costs a row for each member and not for each pair.  A list
-longer than ``block`` is dealt into pairs of blocks, which go to different tasks.
+written, so a dense group costs a row for each member and not for each pair.  Of a list
+longer than ``block`` finer lists are made: linked fingerprints of it agree in one more byte at least, so each
+entry goes to a list for each of the other positions, and where bytes are not enough to parts of the
+bits left.  That is four rows an entry, however long the list is, and nothing is lost.
 """
 
 from __future__ import annotations
@@ -81,13 +83,24 @@ def fingerprints(docs: DataFrame, columns: list[str], text: Column, shingle: int
     return rows.mapInPandas(run, f"{schema}, fingerprint long")
 
 
-def _key_values(prints: Column) -> list[Column]:
-    """The parts of a fingerprint that its lists are named by, one for each key."""
-    return [
-        prints.bitwiseAND(F.lit(int(np.array(
-            [255 if at in key else 0 for at in range(8)], np.uint8).view(np.int64)[0])))
-        for key in covering_keys()
-    ]
+def _signed(bits: int) -> int:
+    return int(np.uint64(bits).view(np.int64))
+
+
+def key_masks() -> list[int]:
+    """The bits of a fingerprint that each key consists of."""
+    return [sum(255 << 8 * at for at in key) for key in covering_keys()]
+
+
+def finer_masks(mask: int, max_bits: int) -> list[int]:
+    """Masks with more bits, one of which any two fingerprints agree in that agree in ``mask`` and differ in at most ``max_bits``.
+
+    The bits outside of the mask are cut into one part more than can differ: beside four bytes, these are the other bytes.
+    """
+    free = [bit for bit in range(64) if not mask >> bit & 1]
+    if len(free) <= max_bits:
+        return []
+    return [mask | sum(1 << int(bit) for bit in part) for part in np.array_split(free, max_bits + 1)]
 
 
 def _forest(prints: np.ndarray, max_bits: int) -> list[tuple[np.uint64, np.uint64]]:
@@ -108,7 +121,7 @@ def _forest(prints: np.ndarray, max_bits: int) -> list[tuple[np.uint64, np.uint6
 def _search(max_bits: int):
     """Links within the lists of a partition that is sorted by list."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, begins, ends in groups_of(batches, ["key", "value", "row", "column"]):
+        for part, begins, ends in groups_of(batches, ["mask", "value"]):
             prints = part["fingerprint"].to_numpy().view(np.uint64)
             found = [link for a, b in zip(begins, ends, strict=True) if b - a > 1 for link in _forest(prints[a:b], max_bits)]
             found = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
@@ -121,17 +134,33 @@ def links(prints: DataFrame, work: WorkArea, max_bits: int = 3, block: int = 204
     """Links (a, b) between distinct fingerprints, a spanning forest of each list's."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the index finds fingerprints that differ in at most three bits")
+    found = _lists(prints, work, max_bits, block)
+    lists = ["mask", "value"]
+    return found.repartition(*lists).sortWithinPartitions(*lists).mapInPandas(_search(max_bits), "a long, b long")
+
+
+def _lists(prints: DataFrame, work: WorkArea, max_bits: int, block: int) -> DataFrame:
+    """``mask, value, fingerprint``: the lists of the index, each fingerprint in every list it has to be searched in."""
     fp = F.col("fingerprint")
-    postings = prints.select(fp, F.posexplode(F.array(*_key_values(fp))).alias("key", "value"))
-    long = work.table(
-        postings.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "long_lists")
-    blocks = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
-    dealt = postings.join(long, ["key", "value"], "left").withColumns(
-        {"blocks": blocks, "mine": F.pmod(F.xxhash64("fingerprint"), blocks).cast("int")}
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "value", F.least("mine", "other").alias("row"), F.greatest("mine", "other").alias("column"), "fingerprint")
-    lists = ["key", "value", "row", "column"]
-    return dealt.repartition(*lists).sortWithinPartitions(*lists).mapInPandas(_search(max_bits), "a long, b long")
+    masks = key_masks()
+    rows = prints.select(fp, F.explode(F.array(*[F.lit(_signed(mask)) for mask in masks])).alias("mask"))
+    short = None
+    while True:
+        rows = rows.select("mask", fp.bitwiseAND(F.col("mask")).alias("value"), "fingerprint")
+        finer = {mask: finer_masks(mask, max_bits) for mask in masks}
+        sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"))
+        # Below that many free bits all of a list are linked, and it is short.
+        long = work.table(sizes.where(
+            (F.col("n") > block) & (F.bit_count("mask") < 64 - max_bits)).select("mask", "value"), "long_lists")
+        here = rows.join(long, ["mask", "value"], "left_anti")
+        short = here if short is None else short.union(here)
+        if long.isEmpty():
+            return short
+        parts = F.create_map(*[x for mask, more in finer.items() for x in (
+            F.lit(_signed(mask)), F.array(*[F.lit(_signed(m)) for m in more]).cast("array<bigint>"))])
+        rows = work.table(rows.join(long, ["mask", "value"], "left_semi").select(
+            F.explode(parts[F.col("mask")]).alias("mask"), "fingerprint").distinct(), "finer")
+        masks = sorted({m for more in finer.values() for m in more})
 
 
 def near_duplicates(

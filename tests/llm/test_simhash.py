@@ -1,5 +1,6 @@
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from edge_texts import EDGE_ROWS
 from orderline_kpi.llm import simhash
@@ -75,3 +76,48 @@ def test_one_row_of_each_group_stays(documents):
     assert sorted((row["doc_id"] or 0, row["text"]) for row in kept.collect() if row["text"]) == [
         (0, "no id"), (3, text), (4, "something else entirely")]
     assert kept.count() == 4
+
+
+def test_a_long_list_costs_rows_in_proportion(spark):
+    rng = np.random.default_rng(12)
+    # All in one list of four positions, and many of them in one of five.
+    low = np.unique(rng.integers(1 << 32, size=50_000, dtype=np.uint64))
+    low = np.unique(np.r_[low, low[:300] ^ np.uint64(0b10010001), rng.integers(1 << 24, size=9000, dtype=np.uint64)])
+    prints = (np.uint64(0xABCD1234) << np.uint64(32)) | low
+    frame = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fingerprint long")
+    with WorkArea(spark, "test") as work:
+        lists = simhash._lists(frame, work, 3, 2048)
+        sizes = lists.groupBy("mask", "value").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 2048
+        assert lists.count() < 2 * 14 * len(prints)
+        found = {tuple(sorted(np.array(row, np.int64).view(np.uint64).tolist())) for row in simhash.links(frame, work).collect()}
+    for a, b in found:
+        assert (a ^ b).bit_count() <= 3
+    root = {int(p): int(p) for p in prints}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in found:
+        root[find(a)] = find(b)
+    # All pairs by flipping up to three of the bits.
+    flips = [1 << i for i in range(32)]
+    flips += [a ^ b for a in flips for b in flips if a < b]
+    known = set(prints.tolist())
+    for p in prints[::40].tolist():
+        assert all(find(p) == find(p ^ f) for f in flips if p ^ f in known)
+    assert all(find(int(p)) == find(int(p) ^ 0b10010001) for p in prints if int(p) ^ 0b10010001 in known)
+
+
+def test_finer_masks_hold_every_near_pair():
+    rng = np.random.default_rng(13)
+    for mask in simhash.key_masks():
+        while masks := simhash.finer_masks(mask, 3):
+            assert all(m & mask == mask and m != mask for m in masks) and len(masks) == 4
+            for _ in range(20):
+                free = [bit for bit in range(64) if not mask >> bit & 1]
+                flip = sum(1 << int(bit) for bit in rng.choice(free, 3, replace=False))
+                assert any(not flip & m for m in masks)
+            mask = masks[int(rng.integers(4))]
