@@ -17,22 +17,33 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MAX_CONTAMINATED = 0.0
 
 
+def _carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """What an operator reads, and the whole row in one column, whose name no operator uses for a result."""
+    return docs.select(*needed, F.struct(*docs.columns).alias("__row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.apply_rules(docs).where("kept").select(*docs.columns)
+    """Documents that the quality rules keep, with the columns they came with.
+
+    Null and empty texts are rejected; repeated rows are judged one by one; an empty table gives an empty result.
+    """
+    judged = quality_rules.apply_rules(_carried(docs, "source", "text"), ["__row"])
+    return judged.where("kept").select("__row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier document or line has too, or nearly.
 
-    ``n_chars`` follows the text.  A document that has nothing left stays, with an empty text.
+    Of the columns only ``text`` changes, and ``n_chars``, which follows it.  A document that has nothing left stays, with an
+    empty text; a null text stays null; rows equal in id and text lose the same lines.
     """
-    left = line_dedup.remove_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        left = left.withColumn("n_chars", F.when(
-            F.size("gone") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return left.select(*docs.columns)
+    left = line_dedup.remove_lines(_carried(docs, "doc_id", "text"), ["__row", "text"])
+    columns = {c: F.col("__row").getField(c) for c in docs.columns}
+    columns["text"] = F.col("text")
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.size("gone") > 0, F.char_length("text")).otherwise(columns["n_chars"]).cast(
+            docs.schema["n_chars"].dataType)
+    return left.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +56,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no passage of the benchmark occurs."""
+    """Documents in which no passage of the benchmark occurs.
+
+    Null and empty texts have none; rows equal in id and text stay or go together; without items every document stays.
+    """
     found = decontaminate.Decontaminator(docs, read_table(spark, sf_dir, "benchmark"))
     return found.clean_documents(docs, MAX_CONTAMINATED)
 
