@@ -63,3 +63,18 @@ def test_no_documents(spark, documents, tmp_path):
     documents((1, "x")).where("false").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "one")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_hand_on_columns_named_like_results(spark, documents, tmp_path):
+    spark.createDataFrame([(1, "nowhere at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    text = " ".join(f"word{k}" for k in range(80))
+    docs = documents((1, text), (2, text + "\n" + text), (None, text + " more")).withColumns({
+        "kept": F.lit("kept"), "n_lines": F.lit(-7), "gone": F.lit("gone"), "base_failed": F.lit(3), "host_rate": F.lit("rate"),
+        "fingerprint": F.lit("print"), "root": F.lit(1.5), "n_hit": F.lit("hit"), "items": F.lit(4)})
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.schema.simpleString() == docs.schema.simpleString(), name
+        rows = after.select(*extra).distinct().collect()
+        assert rows == docs.select(*extra).distinct().collect(), name
+        docs = after
