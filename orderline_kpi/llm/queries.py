@@ -56,13 +56,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = WorkArea(spark, "warc")
     path = work.file("archives")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
-    # The archives are parsed once; three sides of the assembly read what was found.
+    # The archives are parsed once; all sides of the assembly read what was found.
     captures = warc.assemble(work.table(warc.read_records(spark, path, with_payload=False), "records"))
     return captures.select(
-        F.col("response.page_id").alias("page_id"),
-        F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
+        "page_id", F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
-        F.col("response.refers_to_page").alias("refers_to"),
+        F.col("refers_to_page").alias("refers_to"), "capture_id",
+        F.col("request.record_id").alias("request_id"), F.col("request.http_head").alias("request_head"),
+        F.col("metadata.record_id").alias("metadata_id"),
     )
 
 
