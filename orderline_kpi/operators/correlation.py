@@ -3,67 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations, combinations_with_replacement
+from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderline_kpi.schema import NUMERIC_COLUMNS, MissingColumnsError
 
 
-def _moments(values: DataFrame, n_columns: int) -> DataFrame:
-    """Count, mean, (co)variance and range of v0, v1, ... per pattern of missing values.
-
-    Within a pattern every column is either complete or absent, so one set of moments
-    serves all pairs.  There are at most 2**n_columns patterns, mostly just one.
-    """
-    names = [f"v{i}" for i in range(n_columns)]
-    moments = [F.expr(f"covar_pop({a}, {b}) AS cov_{a}_{b}") for a, b in combinations(names, 2)]
-    for v in names:
-        moments += [
-            F.expr(f"var_pop({v}) AS cov_{v}_{v}"), F.expr(f"avg({v}) AS mean_{v}"),
-            F.expr(f"min({v}) AS low_{v}"), F.expr(f"max({v}) AS high_{v}"),
-        ]
-    pattern = [F.expr(f"isnull({v}) AS missing_{v}") for v in names]
-    return values.groupBy(pattern).agg(F.expr("count(*) AS n"), *moments)
-
-
 def _text(value: str) -> str:
     """A string as SQL literal."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
 
-def _pair(i: int, j: int) -> str:
-    """The moments of one pair of columns, as SQL text."""
-    fields = [f"{i} AS a", f"{j} AS b", f"cov_v{i}_v{j} AS cov"]
-    for side, k in (("a", i), ("b", j)):
-        fields += [
-            f"mean_v{k} AS mean_{side}", f"cov_v{k}_v{k} AS var_{side}",
-            f"low_v{k} AS low_{side}", f"high_v{k} AS high_{side}",
-        ]
-    return f"struct({', '.join(fields)})"
-
-
-def _pooled(within: str, x: str, y: str) -> Column:
-    """Sum of co-deviations over all patterns: inside each, and between their means."""
-    return F.sum(F.col("n") * (F.col(within) + F.col(x) * F.col(y)))
-
-
-def _varies(side: str) -> Column:
-    return F.min(f"low_{side}") < F.max(f"high_{side}")
-
-
 def correlation_matrix(
     lines: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: int = 3
 ) -> DataFrame:
     """One row ``(col_a, col_b, r)`` per cell of the matrix.
 
-    Meant for a handful of columns: lines are pooled by which of them are missing, so many sparse
-    columns make up to 2**n groups, each with the moments of all pairs.
-
     Uses those of ``columns`` that the table has, at least two.  Each pair counts the
     rows where both values are present; NaN counts as missing.  ``r`` is null if either
     column is constant on those rows (``corr`` would fail there under ANSI arithmetic).
+
+    Every line becomes one narrow row for each pair it has both values of, and these are combined before the
+    shuffle: a task sends one row of moments per pair, n(n+1)/2 at most, whichever values are missing.
     """
     present = [column for column in columns if column in lines.columns]
     if len(present) < 2:
@@ -74,47 +37,33 @@ def correlation_matrix(
     values = lines.select(
         [F.nanvl(F.col(c).cast("double"), null).alias(f"v{i}") for i, c in enumerate(present)]
     )
-    pairs = combinations_with_replacement(range(len(present)), 2)
-    structs = ", ".join(_pair(i, j) for i, j in pairs)
-    parts = (
-        _moments(values, len(present))
-        .select("n", F.expr(f"inline(array({structs}))"))
-        .where("mean_a IS NOT NULL AND mean_b IS NOT NULL")
-    )
-
-    # From here on there are a few rows per pair, one for each pattern.
-    of_pair = Window.partitionBy("a", "b")
-    count = F.sum("n").over(of_pair)
+    size = len(present)
+    pairs = ", ".join(
+        f"{i * size + j}, v{i}, v{j}" for i, j in combinations_with_replacement(range(size), 2))
     upper = (
-        parts.withColumns({
-            f"off_{side}": F.col(f"mean_{side}")
-            - F.sum(F.col("n") * F.col(f"mean_{side}")).over(of_pair) / count
-            for side in ("a", "b")
-        })
-        .groupBy("a", "b")
+        values.select(F.expr(f"stack({size * (size + 1) // 2}, {pairs}) AS (slot, a, b)"))
+        .where("a IS NOT NULL AND b IS NOT NULL")
+        .groupBy("slot")
         .agg(
-            F.when(
-                _varies("a") & _varies("b"),
-                F.try_divide(
-                    _pooled("cov", "off_a", "off_b"),
-                    F.sqrt(_pooled("var_a", "off_a", "off_a"))
-                    * F.sqrt(_pooled("var_b", "off_b", "off_b")),
-                ),
-            ).alias("r")
+            F.covar_pop("a", "b").alias("cov"),
+            *[F.var_pop(side).alias(f"var_{side}") for side in ("a", "b")],
+            *[(F.min(side) < F.max(side)).alias(f"varies_{side}") for side in ("a", "b")],
         )
+        .select("slot", F.when(
+            F.col("varies_a") & F.col("varies_b"),
+            F.try_divide("cov", F.sqrt("var_a") * F.sqrt("var_b")),
+        ).alias("r"))
     )
     # One map of at most one entry per pair, so that every cell shows up, also that of a
     # pair without a single common row.
     cells = ", ".join(
-        f"struct({_text(x)} AS col_a, {_text(y)} AS col_b, "
-        f"r[{min(i, j) * len(present) + max(i, j)}] AS r)"
+        f"struct({_text(x)} AS col_a, {_text(y)} AS col_b, r[{min(i, j) * size + max(i, j)}] AS r)"
         for i, x in enumerate(present) for j, y in enumerate(present)
     )
-    slot = F.col("a") * len(present) + F.col("b")
     # Other than round, this keeps the sign of a small negative r.
     rounded = F.rint(F.col("r") * 10**digits) / 10**digits
     return (
-        upper.agg(F.map_from_entries(F.collect_list(F.struct(slot, "r"))).alias("r"))
+        upper.agg(F.map_from_entries(F.collect_list(F.struct("slot", "r"))).alias("r"))
         .select(F.expr(f"inline(array({cells}))"))
         .select("col_a", "col_b", rounded.alias("r"))
     )

@@ -16,7 +16,7 @@ from orderline_kpi.plans.settings import configure
 from orderline_kpi.schema import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS
 from orderline_kpi.sources.curated import read_curated, write_curated
 from orderline_kpi.sources.raw_csv import profile, read_raw, schema_table, stage_raw
-from orderline_kpi.sources.scratch import materialize, scratch_path
+from orderline_kpi.sources.scratch import scratch_path
 from orderline_kpi.sources.star import event_lines, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +40,8 @@ def _kpi_query(name: str) -> Query:
             return kpi(event_lines(spark, tables_dir), spec)
         lines = order_lines(spark, tables_dir, [*spec.plain_inputs, *spec.distinct_measures])
         if len(spec.distinct_measures) > 1:
-            # In one pass several exact counts multiply the rows; over a stored table each is a narrow scan.
-            return kpi(materialize(lines, name), spec, separate_distinct=True)
+            # In one pass several exact counts multiply the rows; apart, each joins and moves just what it counts.
+            return kpi(lines, spec, separate_distinct=True)
         return kpi(lines, spec)
 
     return query

@@ -1,6 +1,7 @@
 """KPI tables, rankings and correlation on hand-made lines, and sums that must agree."""
 
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -117,7 +118,6 @@ def test_correlation_uses_pairwise_complete_rows(lines):
 
 
 def test_correlation_over_many_patterns_of_missing_values(spark):
-    import random
     rng = random.Random(5)
     rows = []
     for _ in range(400):
@@ -132,6 +132,19 @@ def test_correlation_over_many_patterns_of_missing_values(spark):
         assert math.isclose(r, expected.loc[a, b], abs_tol=1e-7)
 
 
+def test_correlation_of_many_sparse_columns(spark):
+    rng = random.Random(6)
+    columns = [f"c{i:02d}" for i in range(25)]
+    rows = [[rng.random() if rng.random() < 0.5 else None for _ in columns[:-1]] + [1.0] for _ in range(500)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = cells(correlation_matrix(df, columns, digits=9))
+    expected = as_frame(df, columns)
+    assert len(got) == 25 * 25
+    for (a, b), r in got.items():
+        assert (r is None) == (columns[-1] in (a, b))
+        assert r is None or math.isclose(r, expected.loc[a, b], abs_tol=1e-7)
+
+
 def test_constant_column_has_no_correlation_not_even_with_itself(lines, spark):
     got = cells(correlation_matrix(lines, ["sales", "ship_sched"]))
     assert got == {

@@ -5,7 +5,9 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderline_kpi.operators import correlation_matrix
 from orderline_kpi.operators.kpi import kpi
 from orderline_kpi.plans.catalog import KPIS
 from orderline_kpi.plans.queries import QUERIES
@@ -80,6 +82,22 @@ def test_two_distinct_counts_do_not_multiply_rows(spark, tables_dir):
     assert "Expand" not in plan_of(QUERIES["summary_statistics"](spark, tables_dir))
 
 
+def test_counts_of_the_summary_read_what_they_count_and_store_nothing(spark, tables_dir):
+    plan = plan_of(QUERIES["summary_statistics"](spark, tables_dir), "formatted")
+    assert set(re.findall(r"Location: .*/(\w+)\.parquet", plan)) == {"lineitem", "orders", "part"}
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    assert {"l_orderkey:bigint", "o_orderkey:bigint,o_custkey:bigint"} <= set(schemas)
+
+
+def test_correlation_sends_one_row_per_pair_and_task(spark):
+    names = [f"c{i}" for i in range(25)]
+    sparse = spark.range(0, 4000, 1, 4).select([
+        F.when(F.pmod(F.hash("id", F.lit(i)), F.lit(2)) == 0, F.rand(i)).alias(c) for i, c in enumerate(names)])
+    plan = plan_of(correlation_matrix(sparse, names))
+    assert re.search(r"Exchange hashpartitioning\(slot#", plan) and "Window" not in plan
+    assert len(re.findall("partial_covar_pop", plan)) == 1
+
+
 @pytest.mark.parametrize("name", ["category_top10", "product_top10_sales", "product_bottom10_sales"])
 def test_top_lists_do_not_sort_everything(name, spark, tables_dir):
     plan = plan_of(QUERIES[name](spark, tables_dir))
@@ -89,9 +107,7 @@ def test_top_lists_do_not_sort_everything(name, spark, tables_dir):
 
 def test_correlation_stays_in_generated_code(spark, tables_dir, setting):
     setting("spark.sql.adaptive.enabled", "false")
-    from orderline_kpi.operators import correlation_matrix
     from orderline_kpi.schema import NUMERIC_COLUMNS
-    from orderline_kpi.sources import order_lines
 
     plan = plan_of(correlation_matrix(order_lines(spark, tables_dir, NUMERIC_COLUMNS)))
     partial = [line for line in plan.splitlines() if "partial_covar_pop" in line]
