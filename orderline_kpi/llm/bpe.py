@@ -1,10 +1,8 @@
 """Exact BPE encoding and decoding for vocabularies with word ends.
 
 A text is normalised and cut into pieces the way the tokenizer file says; each piece is encoded
-by dynamic programming over its prefixes.  An Aho-Corasick automaton of all tokens gives,
-at each position, the tokens that end there.  It stands in place of a suffix automaton: that one would find
-any part of a token, while only whole tokens can be the last of a prefix, and these the trie with suffix links
-lists directly, in a library written in C.  Exactly one of them is the last token of the
+by dynamic programming over its prefixes.  The suffix automaton of all tokens gives,
+at each position, the tokens that end there.  Exactly one of them is the last token of the
 prefix's encoding: the one that is compatible with the last token of the prefix before it.  That
 token is the back-pointer of the position; following them from the end gives the ids.
 No merge is ever applied, and the work is linear in the length of a piece.
@@ -23,13 +21,13 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderline_kpi.llm.common import filled
+from orderline_kpi.llm.suffix_automaton import SuffixAutomaton
 
 #: The pieces of this kind of tokenizer, and what its regular expressions call space.
 PIECES = (
@@ -103,13 +101,11 @@ class Bpe:
         self._fits: dict[int, bool] = {}
         # A token that BPE would not make of its own characters never occurs.
         reachable: set[int] = set()
-        self._automaton = ahocorasick.Automaton()
         for number in sorted(symbols):
             parts = self._parts.get(number)
             if parts is None or (parts[0] in reachable and parts[1] in reachable and self._compatible(*parts, number)):
                 reachable.add(number)
-                self._automaton.add_word(symbols[number], (number, len(symbols[number])))
-        self._automaton.make_automaton()
+        self._automaton = SuffixAutomaton({symbols[number]: number for number in sorted(reachable)})
         self._encoded = Memo(self._encode_piece, _MEMO_ITEMS)
 
     def _compatible(self, left: int, right: int, bound: int = 1 << 30) -> bool:
@@ -136,10 +132,12 @@ class Bpe:
         text = text[:-1] + chr(ord(text[-1]) + _END)
         # Of each position: the last token of the prefix that ends there, and where that token begins.
         last, begins = [-1] * len(text), [-1] * len(text)
-        fits = self._fits
-        for at, (token, length) in self._automaton.iter(text):
-            if last[at] < 0:
-                before = at - length
+        fits, automaton = self._fits, self._automaton
+        number, length, nearest = automaton.number, automaton.length, automaton.nearest
+        for at, end in automaton.longest_ends(text):
+            while end:
+                token, before = number[end], at - length[end]
+                fit = True
                 if before >= 0:
                     pair = last[before] << 20 | token
                     fit = fits.get(pair)
@@ -147,9 +145,10 @@ class Bpe:
                         if len(fits) >= _MEMO_ITEMS:
                             fits.clear()
                         fit = fits[pair] = self._compatible(last[before], token)
-                    if not fit:
-                        continue
-                last[at], begins[at] = token, before
+                if fit:
+                    last[at], begins[at] = token, before
+                    break
+                end = nearest[end]
         ids, at = [], len(text) - 1
         while at >= 0:
             ids.append(last[at])

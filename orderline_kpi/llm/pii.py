@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -147,20 +148,44 @@ def _votes(kind: str, strict: int, text: str, start: int, end: int) -> list[int]
     return [strict, _gazetteer(kind, span), cue, 1 if clean else -1, 1 if varied else -1]
 
 
+class Spans:
+    """Spans that do not overlap, in order of their starts, so that a look needs one search and no scan."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlap(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """One more span, which overlaps none of those here."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 def find(text: str) -> tuple[list[dict], list[dict]]:
     """The base spans of a text, and all candidates with votes and features."""
-    base, candidates, taken = [], [], []
+    base, candidates = [], []
     matches = [(*match, True) for match in base_matches(text)]
-    strict = [(s, e) for _, s, e, valid, _ in matches if valid]
+    taken = Spans((s, e) for _, s, e, valid, _ in matches if valid)
     matches += [(*match, False, False) for match in _loose_matches(text)]
     for kind, start, end, valid, by_strict in matches:
         if valid:
             base.append({"kind": kind, "start": start, "end": end})
-        elif any(s < end and start < e for s, e in (*strict, *taken)):
+        elif taken.overlap(start, end):
             continue
         elif not by_strict:
             # A match that failed its check counts in the estimates only, so it must not hide a loose one.
-            taken.append((start, end))
+            taken.add(start, end)
         span = text[start:end]
         digits = sum(map(str.isdigit, span))
         candidates.append({

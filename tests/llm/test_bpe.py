@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 from edge_texts import EDGE_ROWS
 from orderline_kpi.llm import bpe
 from orderline_kpi.llm.queries import QUERIES
+from orderline_kpi.llm.suffix_automaton import SuffixAutomaton
 from llm_fixtures import documents, package_for_workers  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -57,3 +58,22 @@ def test_any_text_equals_the_library(text):
     library = Tokenizer.from_file(PATH) if not hasattr(test_any_text_equals_the_library, "t") else test_any_text_equals_the_library.t
     test_any_text_equals_the_library.t = library
     assert bpe.load(PATH).encode(text) == reference(library, text)[0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abc", max_size=6), max_size=12), st.text("abcd", max_size=40))
+def test_suffix_automaton_lists_the_words_that_end_at_each_place(words, text):
+    numbers = {word: k for k, word in enumerate(words)}
+    automaton = SuffixAutomaton(numbers)
+    expected = [(at, numbers[text[start:at + 1]], at + 1 - start) for at in range(len(text)) for start in range(at + 1)
+                if text[start:at + 1] in numbers]
+    assert list(automaton.matches(text)) == expected
+    # No automaton of these parts has more than two states for each character.
+    assert len(automaton.length) <= 2 * sum(map(len, numbers)) + 1
+
+
+def test_suffix_automaton_takes_long_repeats_and_any_character():
+    automaton = SuffixAutomaton({"a" * 5000: 1, "a": 2, "\U0001f600b": 3})
+    assert list(automaton.matches("xa\U0001f600b")) == [(1, 2, 1), (3, 3, 2)]
+    found = list(automaton.matches("a" * 5001))
+    assert [m for m in found if m[1] == 1] == [(4999, 1, 5000), (5000, 1, 5000)] and len(found) == 5003

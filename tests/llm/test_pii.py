@@ -1,4 +1,5 @@
 import re
+import time
 from hashlib import sha256
 
 import pandas as pd
@@ -97,3 +98,39 @@ def test_reliable_labelers_decide():
     weights = pii.fit_classifier(cells)
     score = {d: sum(w[{"length": 1, "digits": d}.get(name, 0)] for name, w in weights.items()) for d in (0, 4)}
     assert score[0] > 0 > score[4]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8))), st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8))))
+def test_overlaps_of_spans(strict, others):
+    known = [(start, start + size) for start, size in strict]
+    spans = pii.Spans(known)
+    for start, size in others:
+        clash = any(s < start + size and start < e for s, e in known)
+        assert spans.overlap(start, start + size) == clash
+        if not clash:
+            spans.add(start, start + size)
+            known.append((start, start + size))
+
+
+def test_time_grows_with_the_spans_of_a_text():
+    def seconds(n):
+        text = " ".join(f"call 415-{k % 900 + 100}-{k:05}"[:17] for k in range(n))
+        begin = time.process_time()
+        assert len([c for c in pii.find(text)[1] if c["check"] == 0]) == n
+        return time.process_time() - begin
+
+    seconds(100)
+    assert seconds(10_000) < 25 * seconds(1000)
+
+
+def test_planted_kinds_are_caught(spark, tables_dir):
+    texts = {row["doc_id"]: row["text"] or "" for row in spark.read.parquet(f"{tables_dir}/documents.parquet").collect()}
+    spans = {row["doc_id"]: row["spans"] for row in QUERIES["op9_pii"](spark, tables_dir).collect()}
+    planted = {
+        "secret": r'token = "([0-9a-f]{40})"', "email": r"[\w.]+@mail\d\.example\.com", "phone": r"\+1 \(\d{3}\) 555-\d{4}",
+    }
+    for kind, pattern in planted.items():
+        places = [(doc, m.span(m.lastindex or 0)) for doc, text in texts.items() for m in re.finditer(pattern, text)]
+        caught = sum(f"{kind}:{start}:{end}" in spans[doc].split(",") for doc, (start, end) in places)
+        assert places and caught >= 0.9 * len(places), (kind, caught, len(places))
