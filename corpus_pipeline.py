@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderline_kpi.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 from orderline_kpi.llm.common import read_table, share_package
-from orderline_kpi.sources.scratch import WorkArea
+from orderline_kpi.sources.scratch import WorkArea, work_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -85,9 +85,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each one's result written and read again as the next one's input."""
-    work = WorkArea(spark, "pipeline")
-    docs = read_table(share_package(spark), sf_dir, "documents")
+    """All stages on ``documents``, each one's result written and read again as the next one's input.
+
+    The working tables of a stage, and its input, go once its result is written; that of the last stage stays.
+    """
+    docs, before = read_table(share_package(spark), sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = work.table(stage(spark, docs, sf_dir), name)
+        work = WorkArea(spark, f"pipeline-{name}")
+        with work_scope():
+            docs = work.table(stage(spark, docs, sf_dir), name)
+        if before:
+            before.close()
+        before = work
     return docs

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+_owned: ContextVar[list["WorkArea"] | None] = ContextVar("owned", default=None)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
@@ -23,12 +28,15 @@ class WorkArea:
 
     ``close()``, or leaving a ``with`` block, deletes it with all tables in it; results
     that read them must have been used or written by then.  ``root`` replaces the
-    session's shared folder.
+    session's shared folder.  An area made inside ``work_scope()`` ends with it.
     """
 
     def __init__(self, spark: SparkSession, label: str, root: str | None = None) -> None:
         self.spark = spark
         self.path = f"{(root or shared_root(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        owned = _owned.get()
+        if owned is not None:
+            owned.append(self)
 
     def file(self, name: str) -> str:
         """A new path in this area."""
@@ -55,6 +63,27 @@ class WorkArea:
         self.close()
 
 
+@contextmanager
+def work_scope() -> Iterator[None]:
+    """Deletes at its end all working tables made inside, by whichever operator.
+
+    What an operator returns often reads such tables, so write or collect it inside::
+
+        with work_scope():
+            remove_repeats(docs).write.parquet(path)
+
+    Scopes nest; an area belongs to the innermost one of its thread.
+    """
+    areas: list[WorkArea] = []
+    outer = _owned.set(areas)
+    try:
+        yield
+    finally:
+        _owned.reset(outer)
+        for area in areas:
+            area.close()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the session's shared folder."""
     return WorkArea(spark, label).file(label)
