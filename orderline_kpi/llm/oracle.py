@@ -30,16 +30,27 @@ WITH texts AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
 ), hosts AS (
     SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM judged GROUP BY source
-), prior AS (
-    SELECT avg(f / n) AS m,
-           greatest(coalesce(avg(f / n) * (1 - avg(f / n)) / nullif(var_pop(f / n), 0) - 1, 1), 1) AS k
+), sums AS (
+    SELECT count(*) - 1 AS chance, sum(n) AS n, sum(f) / sum(n) AS m, sum(n::DOUBLE * n) / sum(n) AS nn,
+           sum(f::DOUBLE * f / n) AS ff
     FROM hosts
-), bad AS (
-    SELECT source FROM hosts, prior WHERE (f + m * k) / (n + k) > 0.5
+), prior AS (
+    SELECT m, least(greatest(coalesce(
+        ((ff - n * m * m) / nullif(m * (1 - m), 0) - chance) / nullif(n - nn - chance, 0), 0), 0), 0.5) AS s
+    FROM sums
+), shrunk AS (
+    SELECT source, n, m, s, (s * f + m * (1 - s)) / (s * n + (1 - s)) AS rate FROM hosts, prior
+), bounds AS (
+    SELECT source, m, rate - 3 * sqrt(s * rate * (1 - rate) / (s * n + 1)) AS low FROM shrunk
+), suspects AS (
+    SELECT source, low > 0.5 AS rejected FROM bounds WHERE low > m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (
-           SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM judged.source) AS kept
+           SELECT 1 FROM suspects
+           WHERE suspects.source IS NOT DISTINCT FROM judged.source AND (
+               rejected OR n_words < 100 OR 100 * n_repeat_words > 25 * n_words OR 100 * n_symbols > 10 * word_chars)
+       ) AS kept
 FROM judged
 """
 

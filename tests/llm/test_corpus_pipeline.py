@@ -1,6 +1,7 @@
 """The pipeline against its stages done by hand."""
 
 from hashlib import sha256
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from edge_texts import EDGE_ROWS
 from orderline_kpi.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
+from orderline_kpi.sources.scratch import shared_root, work_scope
 from llm_fixtures import documents, package_for_workers  # noqa: F401
 
 
@@ -78,3 +80,15 @@ def test_stages_hand_on_columns_named_like_results(spark, documents, tmp_path):
         rows = after.select(*extra).distinct().collect()
         assert rows == docs.select(*extra).distinct().collect(), name
         docs = after
+
+
+def test_a_run_leaves_its_result_alone_behind(spark, documents, tmp_path):
+    root = Path(shared_root(spark).removeprefix("file:"))
+    text = " ".join(f"word{k}" for k in range(80))
+    documents((1, text), (2, text), (3, "short")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "one")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    before = set(root.iterdir()) if root.exists() else set()
+    with work_scope():
+        assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == 1
+        assert [path.name.rsplit("-", 1)[0] for path in set(root.iterdir()) - before] == ["pipeline-bpe_encoding"]
+    assert set(root.iterdir()) == before

@@ -70,3 +70,45 @@ def test_rules_keep_all_columns_of_edge_rows(documents):
     ruled = quality_rules.apply_rules(docs)
     assert ruled.count() == len(EDGE_ROWS) and {"id", "lang", "kept", "n_words"} <= set(ruled.columns)
     assert ruled.where(F.col("text").isNull()).select("n_words", "kept").distinct().collect() == [(0, False)]
+
+
+def hosts_of(spark, rows):
+    return spark.createDataFrame([(str(k), n, f) for k, (n, f) in enumerate(rows)], "host string, n_docs long, n_failed long")
+
+
+def test_prior_finds_the_spread_that_hosts_were_drawn_with(spark):
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(5, 400, 3000)
+    rates = rng.beta(2, 18, len(sizes))
+    prior = quality_rules.host_prior(hosts_of(spark, [(int(n), int(rng.binomial(n, r))) for n, r in zip(sizes, rates)])).first()
+    assert abs(prior["mean"] - 0.1) < 0.005 and abs(prior["spread"] - 1 / 21) < 0.006
+
+
+def test_hosts_that_differ_by_chance_alone_are_not_suspect(spark):
+    rng = np.random.default_rng(2)
+    sizes = [30_000, *rng.integers(2, 800, 400).tolist()]
+    verdicts = quality_rules.host_verdicts(
+        hosts_of(spark, [(n, int(rng.binomial(n, 0.08))) for n in sizes]), max_rate=0.5)
+    assert verdicts.where("suspect OR rejected").isEmpty()
+
+
+@pytest.mark.parametrize("rows", [[(10, 9)], [(5, 5), (7, 7)], [(5, 0), (9, 0)], [(4, 2), (4, 2)]])
+def test_hosts_without_a_spread_are_judged_alike(spark, rows):
+    verdicts = quality_rules.host_verdicts(hosts_of(spark, rows), max_rate=0.5).collect()
+    rate = sum(f for _, f in rows) / sum(n for n, _ in rows)
+    assert all(row["shrunk_rate"] == row["least_rate"] == rate and not row["suspect"] and not row["rejected"] for row in verdicts)
+
+
+def test_a_suspect_host_is_held_to_stricter_limits(documents):
+    clean, brief = (" ".join(f"word{k}" for k in range(n)) for n in (150, 80))
+    marked = " ".join(f"word{k} ###" for k in range(100))
+    part = lambda source, first, fails: documents(
+        *[(first + k, "short" if k < fails else clean) for k in range(200)],
+        (first + 200, brief), (first + 201, marked), source=source)
+    docs = part("suspect", 0, 60)
+    for k in range(1, 12):
+        docs = docs.union(part(f"fine{k}", 1000 * k, k % 3))
+    kept = {row["doc_id"]: row["kept"] for row in quality_rules.apply_rules(docs).collect()}
+    assert not any(kept[k] for k in range(60)) and all(kept[k] for k in range(60, 200))
+    assert not kept[200] and not kept[201]
+    assert all(kept[1000 * k + d] for k in range(1, 12) for d in range(2, 202))
